@@ -46,8 +46,12 @@ def stock_item(listing: Column) -> Column:
 
 
 def german_date(text: Column) -> Column:
-    """Date written as day.month.year; NULL when it is not one."""
-    return F.try_to_date(text, "dd.MM.yyyy")
+    """Date written as DD.MM.YYYY; NULL when it is not one.
+
+    Turning the parts round for a plain cast is several times faster than a date pattern.
+    """
+    parts = [F.substring(text, 7, 4), F.substring(text, 4, 2), F.substring(text, 1, 2)]
+    return F.when(text.like("__.__.____"), F.concat_ws("-", *parts).try_cast("date"))
 
 
 def clean_numeric(value: Column, default: float = 0) -> Column:

@@ -33,7 +33,7 @@ VALID_PLAN = "Validated_plan"
 MAKERS = ["Manufacturers", "Manufacturers / LP"]
 
 
-def sku_vendor(sources: Sources, params: Params) -> DataFrame:
+def vendor_choice(sources: Sources, params: Params) -> DataFrame:
     """Vendor per sku: the preferred one, else the first mapped one, else that of the last order."""
     mapped = latest_row(
         sources["sku_vendor_map"],
@@ -52,16 +52,23 @@ def sku_vendor(sources: Sources, params: Params) -> DataFrame:
             F.asc_nulls_last("po_vendor"),
         ],
     )
+    vendor = F.coalesce(F.nullif("preferred_vendor", F.lit("")), "vendor", "po_vendor")
+    return mapped.join(ordered.select("sku", "po_vendor"), "sku", "left").select(
+        "sku", vendor.alias("final_vendor")
+    )
+
+
+def sku_vendor(sources: Sources, params: Params) -> DataFrame:
+    """Vendor and newest listing per sku."""
     master = latest_row(
         sources["product_master"].select("sku", "listing_id", "snapshot_date"),
         ["sku"],
         [F.desc_nulls_first("snapshot_date"), F.asc_nulls_last("listing_id")],
     )
-    vendor = F.coalesce(F.nullif("preferred_vendor", F.lit("")), "vendor", "po_vendor")
     return (
-        mapped.join(ordered.select("sku", "po_vendor"), "sku", "left")
+        vendor_choice(sources, params)
         .join(master.select("sku", "listing_id"), "sku", "left")
-        .select("sku", "listing_id", vendor.alias("final_vendor"))
+        .select("sku", "listing_id", "final_vendor")
     )
 
 
@@ -220,13 +227,18 @@ def stock_members(sources: Sources, params: Params) -> DataFrame:
     return value_counts(_latest_stock(sources), STOCK_KEYS, "sku")
 
 
+def latest_products(sources: Sources) -> DataFrame:
+    """Newest snapshot of each product without a successor."""
+    products = sources["product_master"].filter(F.coalesce("successor_sku", F.lit("")) == "")
+    return latest_snapshot(products, ["sku"])
+
+
 def product_master_latest(sources: Sources, params: Params) -> DataFrame:
     """Newest attributes of products without a successor; several rows where a snapshot has them."""
-    products = sources["product_master"].filter(F.coalesce("successor_sku", F.lit("")) == "")
     tier = size_tier(*[F.col(name) for name in ("ship_weight", "dim_h_cm", "dim_l_cm", "dim_w_cm")])
     # ship_weight is left out only after the distinct: rows that differ in it alone are both kept.
     return (
-        latest_snapshot(products, ["sku"])
+        latest_products(sources)
         .select(
             "sku",
             "listing_id",

@@ -91,10 +91,10 @@ def opening_stock(sources: Sources, params: Params) -> DataFrame:
 
 def _master_listing(sources: Sources, params: Params) -> DataFrame:
     """Listing of each sku in the product master."""
-    master = dedupe_master(sources, params).select("sku", F.col("listing_id").alias("master_listing"))
     if params.fan_out_master:
-        return master
-    return latest_row(master, ["sku"], [F.asc_nulls_last("master_listing")])
+        return dedupe_master(sources, params).select("sku", F.col("listing_id").alias("master_listing"))
+    newest = extracts.latest_products(sources)
+    return newest.groupBy("sku").agg(F.min("listing_id").alias("master_listing"))
 
 
 def vendor_regions(sources: Sources, params: Params) -> DataFrame:

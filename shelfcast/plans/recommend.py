@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfcast.functions.columns import col_or
+from shelfcast.functions.columns import col_or, item_of
 from shelfcast.operators.joins import lookup_buffer, lookup_route
 from shelfcast.operators.latest import latest_row
 from shelfcast.params import Params
@@ -56,12 +56,14 @@ def recommendations(df: DataFrame) -> DataFrame:
 
 def item_attributes(sources: Sources, params: Params) -> DataFrame:
     """One row per item: the product behind it, its vendor and the vendor's shipping region."""
-    master = latest_row(
-        flows.dedupe_master(sources, params),
-        ["item"],
-        [F.asc_nulls_last("sku"), F.asc_nulls_last("size_tier")],
-    ).select("item", "sku", "lead_time_production_days", "size_tier")
-    vendors = extracts.sku_vendor(sources, params).select("sku", "final_vendor")
+    products = extracts.product_master_latest(sources, params)
+    products = products.withColumn("item", item_of(F.col("listing_id"), F.col("sku"), "empty"))
+    rest = [c for c in products.columns if c not in ("item", "sku", "listing_id", "size_tier")]
+    order = [F.asc_nulls_last(column) for column in ("sku", "size_tier", *rest)]
+    master = latest_row(products, ["item"], order).select(
+        "item", "sku", "lead_time_production_days", "size_tier"
+    )
+    vendors = extracts.vendor_choice(sources, params)
     regions = flows.vendor_regions(sources, params).select(
         F.col("vendor_id").alias("final_vendor"), "shipping_region"
     )
