@@ -190,12 +190,9 @@ def read_dimension(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """CSV with a header: cells read as text and trimmed, empty ones kept, then cast to the schema."""
     target = T.StructType.fromDDL(schema)
     text = ", ".join(f"`{field.name}` string" for field in target)
-    table = (
-        spark.read.schema(text)
-        .options(header=True, enforceSchema=True, nullValue="\u0000", emptyValue="", encoding="UTF-8")
-        .csv(path)
-    )
-    return table.select(*[F.trim(f.name).cast(f.dataType).alias(f.name) for f in target])
+    table = spark.read.schema(text).options(header=True, enforceSchema=True).csv(path)
+    cells = {f.name: F.coalesce(F.trim(f.name), F.lit("")) for f in target}
+    return table.select(*[cells[f.name].cast(f.dataType).alias(f.name) for f in target])
 
 
 def read_route_leadtime(spark: SparkSession, path: str) -> DataFrame:
