@@ -40,6 +40,16 @@ def ref_of(item: Column, market: Column) -> Column:
     return F.concat(item, market)
 
 
+def ref_market(ref: Column, market_chars: Column) -> Column:
+    """The market a ref ends with, given its number of characters."""
+    return F.right(ref, market_chars)
+
+
+def ref_item(ref: Column, market_chars: Column) -> Column:
+    """The item a ref begins with, given the number of characters of its market."""
+    return F.left(ref, F.length(ref) - market_chars)
+
+
 def stock_item(listing: Column) -> Column:
     """Stock without a listing is kept under its market alone."""
     return F.coalesce(F.when(F.trim(listing) != "", listing), F.lit(""))

@@ -9,7 +9,7 @@ from shelfcast.plans import flows
 from shelfcast.plans.extracts import Sources
 from shelfcast.plans.impact import oos_labels, ref_summary, revenue_impact, run_summary
 from shelfcast.plans.recommend import item_attributes, lead_times, recommendations
-from shelfcast.plans.waterfall import waterfall
+from shelfcast.plans.waterfall import all_flows, waterfall, waterfall_of, weekly_flow
 
 ALLOCATION = [
     "ref", "item", "market", "oos_week_first", "oos_week_last_onset", "oos_week_final",
@@ -41,9 +41,16 @@ def allocation(sources: Sources, params: Params) -> DataFrame:
     return allocation_of(ref_summary(waterfall(sources, params), params), sources, params)
 
 
-def plan_allocation(sources: Sources, params: Params) -> dict[str, DataFrame]:
-    """All results of a run, lazily. Write `sales_missed` first to compute the weeks only once."""
-    weeks = waterfall(sources, params)
+def plan_allocation(
+    sources: Sources, params: Params, weekly: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """All results of a run, lazily.
+
+    Each result computes the weekly flows anew unless they are given, e.g. read back from a table.
+    """
+    if weekly is None:
+        weekly = weekly_flow(all_flows(sources, params), params)
+    weeks = waterfall_of(weekly, params)
     summary = ref_summary(weeks, params)
     return {
         "allocation": allocation_of(summary, sources, params),

@@ -1,7 +1,9 @@
 """Weekly flows per ref: demand, opening stock, purchase orders and inbound shipments.
 
-Each `*_contributions` function returns plain rows (ref, item, market, week_start, quantity) that are
-not yet added up: the waterfall adds all flows up at once, so that they are shuffled once.
+Each `*_contributions` function returns plain rows (ref, market_chars, week_start, quantity) that are
+not yet added up: the waterfall adds all flows up at once, so that they are shuffled once. The number
+of characters of the market is enough to tell item and market of a ref apart again; unlike their
+texts, it can be aggregated by hash.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from shelfcast.plans import extracts
 from shelfcast.plans.extracts import Sources
 from shelfcast.sources import dimensions
 
-CONTRIBUTION = ["ref", "item", "market", "week_start", "quantity"]
+CONTRIBUTION = ["ref", "market_chars", "week_start", "quantity"]
 
 # Where a purchase order line does not say, and days added to a shipment's dates.
 DEFAULT_REGION, DEFAULT_MARKET, DEFAULT_WH_TYPE = "CN", "US", "3PL"
@@ -53,10 +55,11 @@ def spread_months(monthly: DataFrame, keys: list[str]) -> DataFrame:
 def demand_contributions(sources: Sources, params: Params) -> DataFrame:
     item = item_of(F.col("listing_id"), F.col("sku"), "empty")
     # The plan's own totals per sku are left out: one sum per ref and date covers them.
-    plan = extracts.valid_plan(sources, params).withColumns(
-        {"item": item, "ref": ref_of(item, F.col("market"))}
+    plan = extracts.valid_plan(sources, params).select(
+        ref_of(item, F.col("market")).alias("ref"), F.length("market").alias("market_chars"),
+        "date", "quantity",
     )
-    return spread_months(plan, ["ref", "item", "market"]).select(*CONTRIBUTION)
+    return spread_months(plan, ["ref", "market_chars"]).select(*CONTRIBUTION)
 
 
 def weekly_demand(sources: Sources, params: Params) -> DataFrame:
@@ -69,21 +72,25 @@ def weekly_demand(sources: Sources, params: Params) -> DataFrame:
     )
 
 
-def opening_stock(sources: Sources, params: Params) -> DataFrame:
-    """Stock per ref that can be sold."""
+def opening_contributions(sources: Sources, params: Params) -> DataFrame:
+    """Stock that can be sold, by ref and what the stock totals tell apart besides."""
     item = stock_item(F.col("listing_id"))
-    stock = extracts.stock_totals(sources, params)
     market = normalize_market(F.col("market"), PAN_EU)
     total = F.col("total_inventory")
     if params.double_deduct:
         for location in ("in_walmart", "in_to_osc_l3m", "in_fm", "units_in_d2amz"):
             total = total - F.coalesce(location, F.lit(0.0))
+    stock = extracts.stock_totals(sources, params).select(
+        ref_of(item, market).alias("ref"), item.alias("item"), market.alias("market"),
+        total.alias("total_inventory"),
+    )
+    return stock.filter("ref IS NOT NULL")
+
+
+def opening_stock(sources: Sources, params: Params) -> DataFrame:
+    """Stock per ref that can be sold."""
     return (
-        stock.select(
-            ref_of(item, market).alias("ref"), item.alias("item"), market.alias("market"),
-            total.alias("total_inventory"),
-        )
-        .filter("ref IS NOT NULL")
+        opening_contributions(sources, params)
         .groupBy("ref", "item", "market")
         .agg(F.sum("total_inventory").alias("total_inventory"))
     )
@@ -158,7 +165,7 @@ def classified_po_lines(sources: Sources, params: Params, strict: bool = False)
     lines = lines.join(stages, F.col("current_status") == F.col("stage")).drop("stage")
     lines = lines.join(_master_listing(sources, params), "sku", "left")
     item = F.coalesce("listing_id", "master_listing", "sku")
-    lines = lines.drop("ref").withColumns({"item": item, "ref": ref_of(item, F.col("market"))})
+    lines = lines.withColumn("ref", ref_of(item, F.col("market")))
     routes = sources["route_leadtime"] if "route_leadtime" in sources else None
     buffers = sources["port_buffer"] if "port_buffer" in sources else None
     return po_expected_dates(lines, params, routes, buffers, strict)
@@ -168,7 +175,8 @@ def po_contributions(sources: Sources, params: Params) -> DataFrame:
     """PO rows with their class."""
     lines = classified_po_lines(sources, params)
     return lines.select(
-        "ref", "item", "market", monday(F.col("expected_delivery_date")).alias("week_start"),
+        "ref", F.length("market").alias("market_chars"),
+        monday(F.col("expected_delivery_date")).alias("week_start"),
         F.col("leftover_quantity").cast("double").alias("quantity"), "klass",
     )
 
@@ -215,7 +223,7 @@ def inbound_contributions(sources: Sources, params: Params) -> DataFrame:
     lines = inbound_expected_dates(extracts.inbound_lines(sources, params), params, routes)
     item = item_of(F.col("listing_id"), F.col("sku"), "trim")
     return lines.select(
-        ref_of(item, F.col("market")).alias("ref"), item.alias("item"), "market",
+        ref_of(item, F.col("market")).alias("ref"), F.length("market").alias("market_chars"),
         monday(F.col("expected_delivery_date_final")).alias("week_start"),
         F.col("quantity").cast("double").alias("quantity"),
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from shelfcast.functions.columns import ref_item, ref_market
 from shelfcast.functions.weeks import week_calendar, week_label
 from shelfcast.params import Params
 from shelfcast.plans.waterfall import with_oos_marks
@@ -34,7 +35,7 @@ def ref_summary(weeks: DataFrame, params: Params) -> DataFrame:
     return (
         with_oos_marks(weeks)
         .withColumn("oos_final", final)
-        .groupBy("ref", "item", "market")
+        .groupBy("ref", "market_chars")
         .agg(
             F.min("missing_from").alias("oos_first"),
             F.max("onset").alias("oos_last_onset"),
@@ -48,6 +49,9 @@ def ref_summary(weeks: DataFrame, params: Params) -> DataFrame:
                 for n in DEMAND_WEEKS
             ],
         )
+        .withColumn("item", ref_item(F.col("ref"), F.col("market_chars")))
+        .withColumn("market", ref_market(F.col("ref"), F.col("market_chars")))
+        .drop("market_chars")
     )
 
 

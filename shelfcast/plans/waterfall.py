@@ -18,9 +18,9 @@ def all_flows(sources: Sources, params: Params) -> DataFrame:
     orders = flows.po_contributions(sources, params)
     signed = F.when(F.col("klass") == "signed", F.col("quantity"))
     unsigned = F.when(F.col("klass") == "unsigned", F.col("quantity"))
-    keys = ["ref", "item", "market", "week_start"]
-    stock = flows.opening_stock(sources, params).select(
-        "ref", "item", "market", F.lit(None).cast("date").alias("week_start"),
+    keys = ["ref", "market_chars", "week_start"]
+    stock = flows.opening_contributions(sources, params).select(
+        "ref", F.length("market").alias("market_chars"), F.lit(None).cast("date").alias("week_start"),
         F.col("total_inventory").alias("opening"),
     )
     parts = [
@@ -48,8 +48,7 @@ def weekly_flow(contributions: DataFrame, params: Params) -> DataFrame:
         contributions.join(F.broadcast(planned), "week_start", "left")
         .groupBy("ref", "week_idx")
         .agg(
-            F.min("item").alias("item"),
-            F.min("market").alias("market"),
+            F.min("market_chars").alias("market_chars"),
             F.sum("opening").alias("opening"),
             *[F.sum(name).alias(name) for name in FLOWS],
         )
@@ -74,8 +73,7 @@ def dense_weeks(weekly: DataFrame, params: Params) -> DataFrame:
         ),
     )
     refs = weekly.groupBy("ref").agg(
-        F.min("item").alias("item"),
-        F.min("market").alias("market"),
+        F.min("market_chars").alias("market_chars"),
         _scaled(F.sum("opening"), params).alias("opening"),
         F.map_from_entries(F.collect_list(in_plan)).alias("weeks"),
     )
@@ -86,7 +84,7 @@ def dense_weeks(weekly: DataFrame, params: Params) -> DataFrame:
         refs.withColumn("week_idx", weeks)
         .withColumn("week", F.col("weeks")[F.col("week_idx")])
         .select(
-            "ref", "item", "market", "opening", "week_idx",
+            "ref", "market_chars", "opening", "week_idx",
             *[F.coalesce(f"week.{n}", F.lit(0).cast("long")).alias(n) for n in FLOWS],
         )
     )
@@ -119,7 +117,7 @@ def run_waterfall(dense: DataFrame, params: Params) -> DataFrame:
         .withColumn("starting", start)
         .withColumn("missed", missed)
         .select(
-            "ref", "item", "market", "week_idx",
+            "ref", "market_chars", "week_idx",
             *[(F.col(name) / unit).alias(name) for name in FLOWS],
             (F.col("starting") / unit).alias("inventory_start"),
             (F.col("ending") / unit).alias("inventory_end"),
@@ -134,11 +132,15 @@ def with_dates(weeks: DataFrame, params: Params) -> DataFrame:
     return weeks.join(F.broadcast(calendar), "week_idx")
 
 
-def waterfall(sources: Sources, params: Params) -> DataFrame:
-    weekly = weekly_flow(all_flows(sources, params), params)
+def waterfall_of(weekly: DataFrame, params: Params) -> DataFrame:
+    """The planning weeks of every ref, out of its weekly flows."""
     return with_dates(run_waterfall(dense_weeks(weekly, params), params), params)
 
 
+def waterfall(sources: Sources, params: Params) -> DataFrame:
+    return waterfall_of(weekly_flow(all_flows(sources, params), params), params)
+
+
 def with_oos_marks(weeks: DataFrame) -> DataFrame:
     """Adds `missing_from`, the week if it has lost sales, and `onset`, the week if they set in anew.
 

@@ -37,6 +37,13 @@ def test_refs(spark, blank, expected):
     assert values(spark, "l string, m string", rows, ref) == expected
 
 
+def test_refs_come_apart_again(spark):
+    rows = [("L1", "US"), ("", "EU"), ("L2", "")]
+    ref, chars = columns.ref_of(F.col("i"), F.col("m")), F.length("m")
+    parts = F.struct(columns.ref_item(ref, chars), columns.ref_market(ref, chars))
+    assert [tuple(r) for r in values(spark, "i string, m string", rows, parts)] == rows
+
+
 def test_stock_without_listing_is_kept_under_its_market(spark):
     rows = [("L",), (None,), (" ",)]
     ref = columns.ref_of(columns.stock_item(F.col("l")), F.lit("EU"))

@@ -17,7 +17,7 @@ from shelfcast.plans.waterfall import (
 
 AS_OF = date(1998, 3, 2)
 FLOW_SCHEMA = (
-    "ref string, item string, market string, week_start date, demand double, inbound double, "
+    "ref string, market_chars int, week_start date, demand double, inbound double, "
     "po_signed double, po_unsigned double, opening double"
 )
 
@@ -26,12 +26,12 @@ def week(n):
     return AS_OF + timedelta(days=7 * n)
 
 
-def flow(ref, n, demand=None, inbound=None, signed=None, unsigned=None, market="US"):
-    return (ref, ref, market, week(n), demand, inbound, signed, unsigned, None)
+def flow(ref, n, demand=None, inbound=None, signed=None, unsigned=None):
+    return (ref, 0, week(n), demand, inbound, signed, unsigned, None)
 
 
-def stock(ref, quantity, market="US"):
-    return (ref, ref, market, None, None, None, None, None, quantity)
+def stock(ref, quantity):
+    return (ref, 0, None, None, None, None, None, quantity)
 
 
 def weeks_of(spark, rows, params):
@@ -402,7 +402,7 @@ def test_one_ref_with_most_rows_is_added_up_before_it_is_gathered(spark, params)
     rows = spark.range(50000).selectExpr(
         "CASE WHEN id % 3 > 0 THEN 'hot' ELSE concat('r', id % 100) END AS ref", "id",
     ).selectExpr(
-        "ref", "ref AS item", "'US' AS market", f"date_add(DATE'{AS_OF}', cast(7 * (id % 104) AS int)) AS week_start",
+        "ref", "0 AS market_chars", f"date_add(DATE'{AS_OF}', cast(7 * (id % 104) AS int)) AS week_start",
         "1.0D AS demand", "0.0D AS inbound", "0.0D AS po_signed", "0.0D AS po_unsigned", "0.0D AS opening",
     )
     weekly = weekly_flow(rows, params)
@@ -530,7 +530,7 @@ def test_plan_has_no_pairwise_joins_nor_python(source, sources, params):
 
 
 def plan_rows(tables):
-    rows = tables["sales_plan"].selectExpr("sku AS ref", "sku AS item", "market", "date AS week_start", "quantity AS demand")
+    rows = tables["sales_plan"].selectExpr("sku AS ref", "0 AS market_chars", "date AS week_start", "quantity AS demand")
     return rows.selectExpr("*", *[f"cast(NULL AS double) AS {n}" for n in (*FLOWS[1:], "opening")])
 
 
@@ -568,3 +568,18 @@ def test_allocation_columns(source, sources, params):
     given = {**tables, "route_leadtime": tables["po_status"].sparkSession.sql(
         "SELECT 'CN' AS departure, 'US' AS arrival, 1 AS days")}
     assert allocation(given, params).count() == 1
+
+
+def test_whole_run_from_tables_to_files(spark, source, sources, tmp_path, capsys):
+    from shelfcast.__main__ import main
+
+    tables = sources(sales_plan=source("sales_plan", plan_row()))
+    for name, table in tables.items():
+        table.write.parquet(str(tmp_path / "in" / name))
+    main(["--sources", str(tmp_path / "in"), "--out", str(tmp_path / "out"), "--as-of", AS_OF.isoformat()])
+    assert capsys.readouterr().out == "refs planned: 1; demand covered: 0.0%; out of stock: 1\n"
+    result = next((tmp_path / "out").glob("inventory_allocation_*"))
+    rows = spark.read.option("header", True).csv(str(result)).collect()
+    assert [(r.ref, r["CW14-1998_sales_missed_w"], r["CW20-1998_sales_missed_w"]) for r in rows] == [("LUS", "5.0", "0.0")]
+    stages = {path.name for path in (tmp_path / "out" / "run_date=1998-03-02" / "debug").iterdir()}
+    assert stages == {"weekly_flow", "sales_missed", "run_summary"}
