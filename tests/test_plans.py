@@ -12,7 +12,7 @@ from shelfcast.plans.allocation import ALLOCATION, allocation, plan_allocation
 from shelfcast.plans.impact import days_of_cover, oos_labels, ref_summary, revenue_impact, run_summary
 from shelfcast.plans.recommend import lead_times, recommendations
 from shelfcast.plans.waterfall import (
-    FLOWS, dense_weeks, oos_weeks, run_waterfall, waterfall, weekly_flow, with_dates,
+    FLOWS, dense_weeks, oos_weeks, run_waterfall, weekly_flow, with_dates,
 )
 
 AS_OF = date(1998, 3, 2)
