@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Callable, Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -102,3 +103,81 @@ def ranked(df: DataFrame, order: list[Column]) -> DataFrame:
     table = df.sparkSession.createDataFrame(list(starts), "_part int, _start bigint")
     joined = parts.join(F.broadcast(table), "_part")
     return joined.withColumn("rank", F.col("_start") + F.col("_at")).drop("_part", "_at", "_start")
+
+
+def tiled(df: DataFrame, key: str, chunks: Column, row: str) -> DataFrame:
+    """Deals the rows of large groups out to tiles, so that every pair of rows meets in one of them.
+
+    A group of c chunks has a tile for every pair of chunks, and a row goes to the c tiles of its own
+    chunk. Groups of one chunk are left whole. Adds `tile_a` and `tile_b`.
+    """
+    own = F.pmod(F.xxhash64(row), F.col("_chunks")).cast("int")
+    split = df.withColumn("_chunks", chunks.cast("int")).withColumn("_own", own)
+    split = split.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)))
+    return split.withColumns(
+        {"tile_a": F.least("_own", "_other"), "tile_b": F.greatest("_own", "_other")}
+    ).drop("_chunks", "_own", "_other")
+
+
+def in_groups(
+    df: DataFrame, key: list[str], rows_of: Callable[[pa.Table, np.ndarray], dict | None], schema: str
+) -> DataFrame:
+    """Runs `rows_of` over tables of whole groups that stand together.
+
+    `rows_of` takes the rows and where each group begins, with the number of rows at the end. Many
+    small groups share a call; a group that reaches over batches is put together first.
+    """
+    kinds = _arrow_schema(df.sparkSession, schema)
+
+    def run(batches):
+        rest = None
+        for batch in chain(batches, [None]):
+            table = [] if batch is None else [pa.Table.from_batches([batch])]
+            table = pa.concat_tables(([rest] if rest is not None else []) + table) if table or rest is not None else None
+            if table is None or not table.num_rows:
+                continue
+            begins = _begins(table, key)
+            whole = begins[-1] if batch is not None else table.num_rows
+            rest = table.slice(whole) if batch is not None else None
+            if whole:
+                ends = begins if batch is not None else np.append(begins, whole)
+                out = rows_of(table.slice(0, whole), ends)
+                if out is not None:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(out[f.name], f.type) for f in kinds], schema=kinds
+                    )
+
+    return df.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, schema)
+
+
+def _begins(table: pa.Table, key: list[str]) -> np.ndarray:
+    new = np.zeros(table.num_rows, bool)
+    new[0] = True
+    for name in key:
+        values = table.column(name).to_numpy()
+        new[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(new)
+
+
+def blobs(table: pa.Table, name: str, kind: type, width: int) -> np.ndarray:
+    """A column of equally long binaries as rows of numbers."""
+    return np.frombuffer(b"".join(table.column(name).to_pylist()), kind).reshape(table.num_rows, width)
+
+
+def forest(size: int, like: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple[int, int]]:
+    """Links that join rows 0 to size-1 as all pairs that are alike would, but without the others.
+
+    `like(row, others)` tells which of `others` are alike. Rows already reached are not compared
+    again, so a group of which all are alike takes one comparison per row.
+    """
+    left, out = np.arange(size), []
+    while len(left):
+        reached, left = [int(left[0])], left[1:]
+        while reached and len(left):
+            row = reached.pop()
+            found = like(row, left)
+            new = left[found]
+            out += [(row, int(other)) for other in new]
+            reached += new.tolist()
+            left = left[~found]
+    return out

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.llm.language import op9_language_id
 from shelfcast.llm.mixing import op6_mixing
+from shelfcast.llm.near import op7_minhash
 from shelfcast.llm.pieces import op5_sentencepiece
 from shelfcast.llm.quality import op8_quality_rules
 from shelfcast.llm.secrets import op2_secret_scan
@@ -19,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_secret_scan": op2_secret_scan,
         "op5_sentencepiece": op5_sentencepiece,
         "op6_mixing": op6_mixing,
+        "op7_minhash": op7_minhash,
         "op8_quality_rules": op8_quality_rules,
         "op9_language_id": op9_language_id,
         "op10_sharding": op10_sharding,
