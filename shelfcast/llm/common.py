@@ -105,7 +105,7 @@ def ranked(df: DataFrame, order: list[Column]) -> DataFrame:
     return joined.withColumn("rank", F.col("_start") + F.col("_at")).drop("_part", "_at", "_start")
 
 
-def tiled(df: DataFrame, key: str, chunks: Column, row: str) -> DataFrame:
+def tiled(df: DataFrame, chunks: Column, row: str) -> DataFrame:
     """Deals the rows of large groups out to tiles, so that every pair of rows meets in one of them.
 
     A group of c chunks has a tile for every pair of chunks, and a row goes to the c tiles of its own

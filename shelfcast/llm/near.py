@@ -139,7 +139,7 @@ def candidates(reps: DataFrame) -> DataFrame:
     """Links (a, b) that connect all classes whose sketches agree inside a node."""
     sketch = reps.select("rep", F.col("n_shingles").alias("size"), "minwise")
     rows = leaves(reps).join(_short(sketch), "rep")
-    rows = tiled(rows, "node", F.ceil(F.col("n") / CHUNK), "rep").drop("n")
+    rows = tiled(rows, F.ceil(F.col("n") / CHUNK), "rep").drop("n")
 
     def rows_of(table, begins):
         bits = blobs(table, "sketch", np.uint8, VALUES)
@@ -204,7 +204,7 @@ def exact_links(docs: DataFrame, groups: DataFrame, shingle: int, top: int) -> D
         sets,
         "id bigint, component_id bigint, chunks int, found binary",
     )
-    rows = tiled(rows.dropDuplicates(["id"]), "component_id", F.col("chunks"), "id").drop("chunks")
+    rows = tiled(rows.dropDuplicates(["id"]), F.col("chunks"), "id").drop("chunks")
 
     def rows_of(table, begins):
         ids, found = table.column("id").to_numpy(), table.column("found").to_pylist()

@@ -13,10 +13,12 @@ from shelfcast.llm.pieces import op5_sentencepiece
 from shelfcast.llm.quality import op8_quality_rules
 from shelfcast.llm.secrets import op2_secret_scan
 from shelfcast.llm.sharding import op10_sharding
+from shelfcast.llm.vectors import op1_near_vectors
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_near_vectors": op1_near_vectors,
         "op2_secret_scan": op2_secret_scan,
         "op5_sentencepiece": op5_sentencepiece,
         "op6_mixing": op6_mixing,
