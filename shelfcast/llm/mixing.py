@@ -108,8 +108,10 @@ def mixed(
 
 def repeated(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix with their columns, each as often as it is taken."""
-    times = mixed(docs, **options).filter("times > 0").groupBy("doc_id").agg(F.max("times").cast("int").alias("_times"))
-    return docs.join(times, "doc_id").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select(*docs.columns)
+    times = mixed(docs, **options).filter("times > 0")
+    times = times.groupBy(F.col("doc_id").alias("_id")).agg(F.max("times").cast("int").alias("_times"))
+    taken = docs.join(times, F.col("doc_id").eqNullSafe(F.col("_id")))
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select(*docs.columns)
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
