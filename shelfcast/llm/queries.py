@@ -11,6 +11,7 @@ from shelfcast.llm.mixing import op6_mixing
 from shelfcast.llm.near import op7_minhash
 from shelfcast.llm.pieces import op5_sentencepiece
 from shelfcast.llm.quality import op8_quality_rules
+from shelfcast.llm.repeats import op3_repeats
 from shelfcast.llm.secrets import op2_secret_scan
 from shelfcast.llm.sharding import op10_sharding
 from shelfcast.llm.vectors import op1_near_vectors
@@ -20,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_vectors": op1_near_vectors,
         "op2_secret_scan": op2_secret_scan,
+        "op3_repeats": op3_repeats,
         "op5_sentencepiece": op5_sentencepiece,
         "op6_mixing": op6_mixing,
         "op7_minhash": op7_minhash,
