@@ -195,3 +195,43 @@ def forest(size: int, like: Callable[[int, np.ndarray], np.ndarray]) -> list[tup
             reached += new.tolist()
             left = left[~found]
     return out
+
+
+def in_blocks(docs: DataFrame, count: int) -> DataFrame:
+    """block, doc_id and text: documents dealt out by a hash of their id."""
+    return docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(count)).cast("int").alias("block"), "doc_id", "text")
+
+
+def packed(*arrays: np.ndarray) -> bytes:
+    import zstandard
+
+    return zstandard.compress(b"".join(np.ascontiguousarray(a).tobytes() for a in arrays), 1)
+
+
+def unpacked(blob: bytes, *kinds: tuple[type, int]) -> list[np.ndarray]:
+    """Arrays of equally many rows, each given by its type and width."""
+    import zstandard
+
+    data = zstandard.decompress(blob)
+    rows, out, at = len(data) // sum(np.dtype(k).itemsize * w for k, w in kinds), [], 0
+    for kind, width in kinds:
+        size = rows * width * np.dtype(kind).itemsize
+        part = np.frombuffer(data, kind, rows * width, at)
+        out.append(part if width == 1 else part.reshape(rows, width))
+        at += size
+    return out
+
+
+def runs(groups: np.ndarray):
+    """(value, slice) of each run of equal values."""
+    cuts = np.flatnonzero(np.diff(groups)) + 1
+    edges = [0, *cuts.tolist(), len(groups)]
+    for start, end in zip(edges[:-1], edges[1:], strict=True):
+        if end > start:
+            yield int(groups[start]), slice(start, end)
+
+
+def arrow_table(rows: list[tuple], fields: list[tuple]) -> pa.Table:
+    schema = pa.schema(fields)
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(fields)
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)

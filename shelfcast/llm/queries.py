@@ -12,6 +12,7 @@ from shelfcast.llm.near import op7_minhash
 from shelfcast.llm.pieces import op5_sentencepiece
 from shelfcast.llm.quality import op8_quality_rules
 from shelfcast.llm.repeats import op3_repeats
+from shelfcast.llm.scoring import op4_backoff_scores
 from shelfcast.llm.secrets import op2_secret_scan
 from shelfcast.llm.sharding import op10_sharding
 from shelfcast.llm.vectors import op1_near_vectors
@@ -22,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_near_vectors": op1_near_vectors,
         "op2_secret_scan": op2_secret_scan,
         "op3_repeats": op3_repeats,
+        "op4_backoff_scores": op4_backoff_scores,
         "op5_sentencepiece": op5_sentencepiece,
         "op6_mixing": op6_mixing,
         "op7_minhash": op7_minhash,

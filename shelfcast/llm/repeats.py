@@ -30,7 +30,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.llm.common import documents, settled
+from shelfcast.llm.common import arrow_table, documents, in_blocks, packed, runs, settled, unpacked
 
 LENGTH, GRAM = 100, 51
 # Places at which the gram of a passage can begin, and so the most bytes to the left of an anchor.
@@ -115,45 +115,16 @@ class Block:
         return (self.keys * np.uint64(count) >> np.uint64(KEY_BITS)).astype(np.int64)
 
 
-def _packed(*arrays: np.ndarray) -> bytes:
-    import zstandard
-
-    return zstandard.compress(b"".join(np.ascontiguousarray(a).tobytes() for a in arrays), 1)
-
-
-def _unpacked(blob: bytes, *kinds: tuple[type, int]) -> list[np.ndarray]:
-    """Arrays of equally many rows, each given by its type and width."""
-    import zstandard
-
-    data = zstandard.decompress(blob)
-    rows, out, at = len(data) // sum(np.dtype(k).itemsize * w for k, w in kinds), [], 0
-    for kind, width in kinds:
-        size = rows * width * np.dtype(kind).itemsize
-        part = np.frombuffer(data, kind, rows * width, at)
-        out.append(part if width == 1 else part.reshape(rows, width))
-        at += size
-    return out
-
-
-def _runs(groups: np.ndarray):
-    """(value, slice) of each run of equal values."""
-    cuts = np.flatnonzero(np.diff(groups)) + 1
-    edges = [0, *cuts.tolist(), len(groups)]
-    for start, end in zip(edges[:-1], edges[1:], strict=True):
-        if end > start:
-            yield int(groups[start]), slice(start, end)
-
-
 def sent_keys(blocks: DataFrame, ranges: int) -> DataFrame:
     """(range, block, keys): the distinct anchor keys of a block in each range of keys."""
 
     def keys_of(key, table):
         block = Block(table)
         rows = [
-            (at, key[0].as_py(), _packed(np.diff(block.keys[part], prepend=np.uint64(0))))
-            for at, part in _runs(block.ranges(ranges))
+            (at, key[0].as_py(), packed(np.diff(block.keys[part], prepend=np.uint64(0))))
+            for at, part in runs(block.ranges(ranges))
         ]
-        return _table(rows, [("range", pa.int32()), ("block", pa.int32()), ("keys", pa.binary())])
+        return arrow_table(rows, [("range", pa.int32()), ("block", pa.int32()), ("keys", pa.binary())])
 
     return blocks.groupBy("block").applyInArrow(keys_of, "range int, block int, keys binary")
 
@@ -162,7 +133,7 @@ def repeated_keys(sent: DataFrame) -> DataFrame:
     """(block, range, bits): for each key that a block has sent, whether another block has it."""
 
     def bits_of(table):
-        sets = [np.cumsum(_unpacked(blob, (np.uint64, 1))[0]) for blob in table.column("keys").to_pylist()]
+        sets = [np.cumsum(unpacked(blob, (np.uint64, 1))[0]) for blob in table.column("keys").to_pylist()]
         known, times = np.unique(np.concatenate(sets), return_counts=True)
         several = known[times > 1]
         rows = []
@@ -172,17 +143,11 @@ def repeated_keys(sent: DataFrame) -> DataFrame:
                 place = np.minimum(np.searchsorted(several, keys), len(several) - 1)
                 bits = several[place] == keys
             rows.append((block, at, np.packbits(bits).tobytes()))
-        return _table(rows, [("block", pa.int32()), ("range", pa.int32()), ("bits", pa.binary())])
+        return arrow_table(rows, [("block", pa.int32()), ("range", pa.int32()), ("bits", pa.binary())])
 
     return sent.groupBy("range").applyInArrow(bits_of, "block int, range int, bits binary")
 
 
-def _table(rows: list[tuple], fields: list[tuple]) -> pa.Table:
-    schema = pa.schema(fields)
-    columns = list(zip(*rows, strict=True)) if rows else [()] * len(fields)
-    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-
-
 # What a row of suffixes and a row of repeats hold: type and width of each part.
 SUFFIX = ((np.int64, 1), (np.uint32, 1), (np.uint32, 1), (np.uint8, 1), (np.uint8, 1), (np.uint8, WIDTH))
 REPEAT = ((np.uint32, 1), (np.uint32, 1), (np.uint64, 1))
@@ -203,15 +168,15 @@ def suffixes(blocks: DataFrame, replies: DataFrame, splitters: np.ndarray, range
         out = []
         fields = [("bucket", pa.int32()), ("block", pa.int32()), ("first", pa.bool_()), ("rows", pa.binary())]
         if not texts.num_rows:
-            return _table(out, fields)
+            return arrow_table(out, fields)
         block, number = Block(texts), key[0].as_py()
         elsewhere = np.zeros(len(block.keys), bool)
         told = dict(zip(bits.column("range").to_pylist(), bits.column("bits").to_pylist(), strict=True))
-        for at, part in _runs(block.ranges(ranges)):
+        for at, part in runs(block.ranges(ranges)):
             elsewhere[part] = np.unpackbits(np.frombuffer(told[at], np.uint8), count=part.stop - part.start)
         at = block.at[(elsewhere | (block.times > 1))[block.key_of]]
         if not len(at):
-            return _table(out, fields)
+            return arrow_table(out, fields)
         doc = np.searchsorted(block.bounds, at, "right") - 1
         left = np.minimum(LEFT, at - block.bounds[doc])
         right = np.minimum(LENGTH, block.bounds[doc + 1] - at)
@@ -234,19 +199,19 @@ def suffixes(blocks: DataFrame, replies: DataFrame, splitters: np.ndarray, range
         some = masks > 0
         if some.any():
             own = repeats[some]
-            out.append((number % (len(splitters) + 1), number, False, _packed(doc[own].astype(np.uint32), position[own], masks[some])))
+            out.append((number % (len(splitters) + 1), number, False, packed(doc[own].astype(np.uint32), position[own], masks[some])))
         leads = np.ascontiguousarray(around[sent, LEFT : LEFT + GRAM]).view(f"S{GRAM}").ravel()
         low, high = np.searchsorted(splitters, leads, "left"), np.searchsorted(splitters, leads, "right")
         bucket = low + number % np.maximum(high - low, 1)
         sent, bucket = sent[np.argsort(bucket, kind="stable")], np.sort(bucket)
-        for target, part in _runs(bucket):
+        for target, part in runs(bucket):
             own = sent[part]
-            blob = _packed(
+            blob = packed(
                 block.order[doc[own]], doc[own].astype(np.uint32), position[own],
                 left[own].astype(np.uint8), right[own].astype(np.uint8), around[own],
             )
             out.append((target, number, True, blob))
-        return _table(out, fields)
+        return arrow_table(out, fields)
 
     grouped = blocks.groupBy("block").cogroup(replies.groupBy("block"))
     return grouped.applyInArrow(rows_of, "bucket int, block int, first boolean, rows binary")
@@ -326,7 +291,7 @@ def compared(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
         keep = table.column("first").to_numpy()
         blocks, blobs = table.column("block").to_numpy(), table.column("rows").to_pylist()
         out += [(int(blocks[i]), blobs[i], None, None, None, None) for i in np.flatnonzero(~keep)]
-        parts = [_unpacked(blobs[i], *SUFFIX) for i in np.flatnonzero(keep)]
+        parts = [unpacked(blobs[i], *SUFFIX) for i in np.flatnonzero(keep)]
         if parts:
             own = np.repeat(blocks[keep], [len(part[0]) for part in parts])
             ids, doc, position, left, right, around = (np.concatenate(part) for part in zip(*parts, strict=True))
@@ -337,9 +302,9 @@ def compared(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
             masks = repeats_in(around, left, right)
             some = np.flatnonzero(masks)
             some = some[np.argsort(own[some], kind="stable")]
-            for block, part in _runs(own[some]):
+            for block, part in runs(own[some]):
                 at = some[part]
-                out.append((block, _packed(doc[at], position[at], masks[at]), None, None, None, None))
+                out.append((block, packed(doc[at], position[at], masks[at]), None, None, None, None))
             if len(frequent):
                 leads = np.ascontiguousarray(around[:, LEFT : LEFT + GRAM]).view(f"S{GRAM}").ravel()
                 firsts = _possible(left, right) & ~masks
@@ -350,7 +315,7 @@ def compared(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
                             digest = hashlib.blake2b(passage, digest_size=16).digest()
                             out.append((int(own[at]), None, int(doc[at]), int(position[at]) - j, int(ids[at]), digest))
         fields = [("block", pa.int32()), ("rows", pa.binary()), ("doc", pa.int32()), ("start", pa.int32()), ("order", pa.int64()), ("digest", pa.binary())]
-        return _table(out, fields)
+        return arrow_table(out, fields)
 
     schema = "block int, rows binary, doc int, start int, order bigint, digest binary"
     return rows.groupBy("bucket").applyInArrow(found, schema)
@@ -373,7 +338,7 @@ def removed(blocks: DataFrame, found: DataFrame) -> DataFrame:
         starts = np.zeros(size + 1, np.int32)
         for blob in found.column("rows").to_pylist():
             if blob is not None:
-                doc, position, masks = _unpacked(blob, *REPEAT)
+                doc, position, masks = unpacked(blob, *REPEAT)
                 at = block.bounds[doc] + position
                 for j in range(PLACES):
                     starts[at[(masks >> np.uint64(j) & np.uint64(1)) > 0] - j] = 1
@@ -430,8 +395,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (binary) of every document."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = total // BLOCK_BYTES + 1
-    block = F.pmod(F.xxhash64("doc_id"), F.lit(count)).cast("int")
-    blocks = docs.select(block.alias("block"), "doc_id", "text")
+    blocks = in_blocks(docs, count)
     splitters = sampled_splitters(docs, count)
     frequent = np.unique(splitters[1:][splitters[1:] == splitters[:-1]])
     replies = repeated_keys(sent_keys(blocks, count))
