@@ -3,33 +3,51 @@
 from __future__ import annotations
 
 import argparse
+import os
 from datetime import date, datetime
 
 from pyspark.sql import Row, SparkSession
 
 from shelfcast.params import Params
-from shelfcast.plans.allocation import plan_allocation
-from shelfcast.plans.extracts import Sources
-from shelfcast.plans.waterfall import all_flows, weekly_flow
+from shelfcast.plans.allocation import allocation_of
+from shelfcast.plans.extracts import EXTRACTS, Sources, extract
+from shelfcast.plans.impact import MEASURES, ref_summary, run_summary
+from shelfcast.plans.waterfall import all_flows, left_out, waterfall_of, weekly_flow, with_oos_marks
 from shelfcast.session import with_settings
-from shelfcast.sinks import wide_weekly, write_result, write_stage
+from shelfcast.sinks import write_debug, write_result, write_stage
+from shelfcast.sources.dimensions import READERS, read_rules
 from shelfcast.sources.readers import load_sources
+from shelfcast.sources.schemas import OPTIONAL, SCHEMAS
 
 
-def run(sources: Sources, params: Params, out: str, run_at: datetime) -> Row:
+def run(sources: Sources, params: Params, out: str, run_at: datetime, debug: bool = False) -> Row:
     """Writes the weekly flows, the weeks and the result, and returns the run's totals.
 
-    The weekly flows are where all sources have come together and are still small: a table of them
-    cuts the run in two, so that losing executors later does not read the sources again.
+    Each stage goes on from the table of the one before, so that nothing is computed twice and losing
+    executors later does not read the sources again. The windows run once, for the weeks; the result
+    and its column per week come out of one aggregation of them.
     """
-    weekly = weekly_flow(all_flows(sources, params), params)
-    weekly = write_stage(weekly, out, "weekly_flow", params.as_of)
-    results = plan_allocation(sources, params, weekly)
-    weeks = results["sales_missed"]
-    write_stage(weeks, out, "sales_missed", params.as_of)
-    wide = wide_weekly(weeks, params, ["sales_missed"])
-    write_result(results["allocation"].join(wide, "ref", "left"), out, run_at)
-    return write_stage(results["run_summary"], out, "run_summary", params.as_of).first()
+    weekly = write_stage(weekly_flow(all_flows(sources, params), params), out, "weekly_flow", params.as_of)
+    weeks = with_oos_marks(waterfall_of(weekly, params))
+    weeks = write_stage(weeks, out, "sales_missed", params.as_of)
+    summary = ref_summary(weeks, params, ["sales_missed"])
+    summary = write_stage(summary, out, "per_ref", params.as_of)
+    cells = [f"{label}_{MEASURES['sales_missed']}" for label in params.labels]
+    write_result(allocation_of(summary, sources, params, cells), out, run_at, ["ref"])
+    write_stage(left_out(sources, params), out, "left_out", params.as_of)
+    if debug:
+        write_debug({name: extract(name, sources, params) for name in EXTRACTS}, out, params.as_of)
+    return write_stage(run_summary(summary), out, "run_summary", params.as_of).first()
+
+
+def with_rules(params: dict, sources: dict, spark: SparkSession, path: str) -> None:
+    """Puts what a rules document says into the parameters and the sources."""
+    stages, rules = read_rules(spark, path)
+    sources["stage_class"] = stages
+    named = {"production_default": rules.default_lead_time_days, "processing_days": rules.po_processing_time,
+             "carton_default": rules.min_units_per_carton}
+    params |= {name: value for name, value in named.items() if value is not None}
+    params["markets"] = tuple(sorted((rules.marketplace_mappings or {}).items()))
 
 
 def main(args: list[str] | None = None) -> None:
@@ -38,10 +56,39 @@ def main(args: list[str] | None = None) -> None:
     parser.add_argument("--out", required=True, help="folder that all executors can write to")
     parser.add_argument("--as-of", type=date.fromisoformat, default=date.today())
     parser.add_argument("--target-year", type=int)
+    parser.add_argument("--dimensions", help="folder of CSV files, e.g. route_leadtime.csv, in place of built-in tables")
+    parser.add_argument("--rules", help="JSON document of stages, market names and thresholds")
+    parser.add_argument("--without", nargs="*", default=[], choices=OPTIONAL, help="sources this run does not have")
+    parser.add_argument("--keep-week-53", action="store_true")
+    parser.add_argument("--missing-stock", choices=["zero", "null"], default="zero")
+    parser.add_argument("--po-routes", choices=["all", "po"], default="all")
+    parser.add_argument("--inbound-routes", choices=["all", "inbound"], default="all")
+    parser.add_argument("--lead-time-routes", choices=["all", "legacy"], default="all")
+    parser.add_argument("--debug", action="store_true", help="also write every source query")
     given = parser.parse_args(args)
     spark = with_settings(SparkSession.builder.appName("shelfcast")).getOrCreate()
-    params = Params(given.as_of, target_year=given.target_year)
-    totals = run(load_sources(spark, given.sources), params, given.out, datetime.now())
+    sources = load_sources(spark, given.sources, [name for name in SCHEMAS if name not in given.without])
+    changes = {}
+    if given.dimensions:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for name, read in READERS.items():
+            path = os.path.join(given.dimensions, f"{name}.csv")
+            file = hadoop(path)
+            if file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(file):
+                sources[name] = read(spark, path)
+    if given.rules:
+        with_rules(changes, sources, spark, given.rules)
+    params = Params(
+        given.as_of,
+        target_year=given.target_year,
+        drop_week_53=not given.keep_week_53,
+        missing_stock=given.missing_stock,
+        po_routes=given.po_routes,
+        inbound_routes=given.inbound_routes,
+        lead_time_routes=given.lead_time_routes,
+        **changes,
+    )
+    totals = run(sources, params, given.out, datetime.now(), given.debug)
     print(
         f"refs planned: {totals.n_refs:,}; demand covered: {totals.demand_coverage}%; "
         f"out of stock: {totals.oos_count:,}"

@@ -56,12 +56,13 @@ def stock_item(listing: Column) -> Column:
 
 
 def german_date(text: Column) -> Column:
-    """Date written as DD.MM.YYYY; NULL when it is not one.
+    """Date written as DD.MM.YYYY, with or without leading zeros; NULL when it is not one.
 
-    Turning the parts round for a plain cast is several times faster than a date pattern.
+    Turning the parts round for a plain cast, which takes days and months of one digit, is several
+    times faster than a date pattern.
     """
-    parts = [F.substring(text, 7, 4), F.substring(text, 4, 2), F.substring(text, 1, 2)]
-    return F.when(text.like("__.__.____"), F.concat_ws("-", *parts).try_cast("date"))
+    parts = [F.split_part(text, F.lit("."), F.lit(n)) for n in (3, 2, 1)]
+    return F.when(text.rlike(r"^[0-9]{1,2}[.][0-9]{1,2}[.][0-9]{4}$"), F.concat_ws("-", *parts).try_cast("date"))
 
 
 def clean_numeric(value: Column, default: float = 0) -> Column:

@@ -67,12 +67,6 @@ def week_calendar(spark: SparkSession, params: Params) -> DataFrame:
     )
 
 
-def calendar_labels(params: Params, spark: SparkSession) -> list[str]:
-    """Labels of the planned weeks in order, for layouts with one column per week."""
-    weeks = week_calendar(spark, params).filter(F.col("week_idx") < params.horizon)
-    return [row.label for row in weeks.orderBy("week_idx").select("label").collect()]
-
-
 def month_weeks(df: DataFrame, day: str) -> DataFrame:
     """Repeat each row for every ISO week its month touches, with the share of the month's days.
 

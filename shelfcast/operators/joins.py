@@ -1,4 +1,4 @@
-"""Joins with an audit, lookups with defaults, and ordered lists of a group's values."""
+"""Joins with an audit, lookups with defaults, and the values of a group as rows and as text."""
 
 from __future__ import annotations
 
@@ -6,8 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Fixed value: the longest list text the warehouse would return, in bytes.
-LIST_BYTES = 65_535
+# Values in one piece of a list's text, at most.
+PIECE_VALUES = 1_000
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -21,15 +21,21 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str)
 def audited_join(
     left: DataFrame, right: DataFrame, keys: list[str], how: str = "left"
 ) -> tuple[DataFrame, DataFrame]:
-    """The join, and one lazy row: left rows, result rows, and right keys that repeat."""
-    joined = left.join(right, keys, how)
-    repeated = right.groupBy(*keys).count().filter("count > 1")
-    audit = left.agg(F.count("*").alias("left_rows")).select(
-        "left_rows",
-        joined.agg(F.count("*")).scalar().alias("result_rows"),
-        repeated.agg(F.count("*")).scalar().alias("repeated_keys"),
+    """The join, and one lazy row: left rows, result rows, and right keys that repeat.
+
+    The audit counts the rows of each key on either side and multiplies the counts; it never joins rows.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError(f"how: {how!r}")
+    lefts = left.groupBy(*keys).agg(F.count("*").alias("_lefts"))
+    rights = right.groupBy(*keys).agg(F.count("*").alias("_rights"))
+    matches = F.coalesce("_rights", F.lit(1 if how == "left" else 0))
+    audit = lefts.join(rights, keys, "left").agg(
+        F.coalesce(F.sum("_lefts"), F.lit(0)).alias("left_rows"),
+        F.coalesce(F.sum(F.col("_lefts") * matches), F.lit(0)).alias("result_rows"),
     )
-    return joined, audit
+    repeated = rights.filter("_rights > 1").agg(F.count("*")).scalar()
+    return left.join(right, keys, how), audit.withColumn("repeated_keys", repeated)
 
 
 def lookup_route(
@@ -71,21 +77,16 @@ def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))
 
 
-def value_lists(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
-    """Values of each group as one ordered text, repeats included, and the text's length in bytes.
+def value_pieces(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """The ordered list of each group's values as pieces of text: (keys, value, piece, text).
 
-    Values are counted first, so a task receives a value once and not once per row. A list the
-    warehouse would refuse for its length is not gathered: its text is NULL, its length is given,
-    and `value_counts` holds it whole.
+    In the order of `value` and `piece` the texts make up the whole list, repeats included. Values are
+    counted first, and a piece holds a bounded number of repeats of one value, so nothing of a group
+    is gathered, however long its list.
     """
     counts = value_counts(df, keys, value)
-    size = f"{name}_bytes"
-    sizes = counts.groupBy(*keys).agg((F.sum(F.col("n") * (F.octet_length(value) + 2)) - 2).alias(size))
-    short = sizes.filter(F.col(size) <= LIST_BYTES).select(*keys)
-    repeated = f"concat_ws(', ', array_repeat({value}, cast(n AS int)))"
-    texts = (
-        join_null_safe(counts, short, keys, "inner")
-        .groupBy(*keys)
-        .agg(F.expr(f"listagg({repeated}, ', ') WITHIN GROUP (ORDER BY {value})").alias(name))
+    pieces = F.sequence(F.lit(0), ((F.col("n") - 1) / PIECE_VALUES).cast("int"))
+    repeats = F.least(F.lit(PIECE_VALUES), F.col("n") - F.col("piece") * PIECE_VALUES).cast("int")
+    return counts.withColumn("piece", F.explode(pieces)).select(
+        *keys, value, "piece", F.array_join(F.array_repeat(value, repeats), ", ").alias(name)
     )
-    return join_null_safe(sizes, texts, keys, "left")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+from collections.abc import Mapping
 from datetime import date, timedelta
 
 
@@ -36,14 +37,28 @@ class Params:
     inbound_route_default: int = 45
     route_default: int = 45
     production_default: int = 45
+    lead_time_buffers: str = "table"
+    """Port buffers for lead times: the "table", or by "market" alone, none where it is the origin."""
+    processing_days: int = 15
+    """Days added to a lead time for processing the order."""
+    carton_default: int = 1
+    """Units per carton where none are known."""
+    markets: tuple[tuple[str, str], ...] = ()
+    """Raw market labels with the market they stand for, besides or instead of the built-in ones."""
     quantity_decimals: int = 4
-    """Decimals kept exactly by the waterfall, which adds quantities up as whole numbers."""
+    """Decimals kept exactly by the waterfall; a quantity with more fails the run."""
 
     def __post_init__(self):
         if self.missing_stock not in ("zero", "null"):
             raise ValueError(f"missing_stock: {self.missing_stock!r}")
         if self.inbound_fallback not in ("row", "column"):
             raise ValueError(f"inbound_fallback: {self.inbound_fallback!r}")
+        if self.lead_time_buffers not in ("table", "market"):
+            raise ValueError(f"lead_time_buffers: {self.lead_time_buffers!r}")
+
+    def market_map(self, built_in: Mapping[str, str]) -> dict[str, str]:
+        """Built-in market names with those of this run on top."""
+        return {**built_in, **dict(self.markets)}
 
     @property
     def year(self) -> int:
@@ -64,3 +79,25 @@ class Params:
     def calendar_end(self) -> date:
         """Last day the calendar may step on: the day before 31 December two years on."""
         return date(self.as_of.year + 2, 12, 31) - timedelta(days=1)
+
+    @property
+    def weeks(self) -> list[date]:
+        """Mondays of all weeks of the calendar, at most 157."""
+        steps = range((self.calendar_end - self.as_of).days // 7 + 1)
+        days = [self.as_of + timedelta(weeks=step) for step in steps]
+        return [
+            day - timedelta(days=day.weekday())
+            for day in days
+            if not (self.drop_week_53 and day.isocalendar().week == 53)
+        ]
+
+    @property
+    def horizon_end(self) -> date | None:
+        """Monday of the last week of the calendar; none if it has no week."""
+        return max(self.weeks, default=None)
+
+    @property
+    def labels(self) -> list[str]:
+        """Labels of the planned weeks in order."""
+        weeks = [monday.isocalendar() for monday in self.weeks[: self.horizon]]
+        return [f"CW{week:02d}-{year}" for year, week, _ in weeks]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 
 from shelfcast.params import Params
@@ -20,8 +22,10 @@ ALLOCATION = [
 ]
 
 
-def allocation_of(summary: DataFrame, sources: Sources, params: Params) -> DataFrame:
-    """Per-ref results from per-ref totals.
+def allocation_of(
+    summary: DataFrame, sources: Sources, params: Params, also: Iterable[str] = ()
+) -> DataFrame:
+    """Per-ref results from per-ref totals, and the columns of the totals named in `also`.
 
     Prices, stock on its way and the active flag are unique per ref and join on it; product and
     vendor are joined per item, after the weeks are gone.
@@ -30,11 +34,11 @@ def allocation_of(summary: DataFrame, sources: Sources, params: Params) -> DataF
     refs = refs.join(flows.active_flag(sources, params), "ref", "left")
     if "pipeline_stock" in sources:
         refs = refs.join(sources["pipeline_stock"].drop("market"), "ref", "left")
-    refs = recommendations(oos_labels(refs))
+    refs = recommendations(oos_labels(refs), params.carton_default)
     refs = refs.join(item_attributes(sources, params), "item", "left")
     routes = sources["route_leadtime"] if "route_leadtime" in sources else None
     buffers = sources["port_buffer"] if "port_buffer" in sources else None
-    return lead_times(refs, params, routes, buffers).select(*ALLOCATION)
+    return lead_times(refs, params, routes, buffers).select(*ALLOCATION, *[f"`{name}`" for name in also])
 
 
 def allocation(sources: Sources, params: Params) -> DataFrame:

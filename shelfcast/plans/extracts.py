@@ -10,6 +10,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfcast.functions.columns import (
+    MARKET_MAP,
     PAN_EU,
     PLAN_MARKETS,
     german_date,
@@ -20,7 +21,7 @@ from shelfcast.functions.columns import (
     size_tier,
     units,
 )
-from shelfcast.operators.joins import join_null_safe, value_counts, value_lists
+from shelfcast.operators.joins import join_null_safe, value_counts, value_pieces
 from shelfcast.operators.latest import global_latest, latest_row, latest_snapshot
 from shelfcast.params import Params
 
@@ -78,7 +79,7 @@ def valid_plan(sources: Sources, params: Params) -> DataFrame:
     return (
         global_latest(valid, valid)
         .filter((F.col("sku") != "") & F.col("date").between(params.plan_from, params.plan_to))
-        .withColumn("market", normalize_market(F.col("market"), PLAN_MARKETS))
+        .withColumn("market", normalize_market(F.col("market"), params.market_map(PLAN_MARKETS)))
         .select("market", "sku", "listing_id", "date", "quantity")
     )
 
@@ -136,7 +137,7 @@ def inbound_lines(sources: Sources, params: Params) -> DataFrame:
         .filter("quantity_expected > 0")
         .withColumnsRenamed({"po": "document_number", "vendor": "line_vendor"})
     )
-    market = normalize_market(F.coalesce("market_place", "order_market"))
+    market = normalize_market(F.coalesce("market_place", "order_market"), params.market_map(MARKET_MAP))
     received = received_quantity(
         F.col("substatus"), F.col("quantity_received"), F.col("quantity_remaining_to_be_received")
     )
@@ -216,10 +217,9 @@ def stock_totals(sources: Sources, params: Params) -> DataFrame:
 
 
 def stock_position(sources: Sources, params: Params) -> DataFrame:
-    """Stock totals with the text list of the skus behind them."""
-    lists = value_lists(_latest_stock(sources), STOCK_KEYS, "sku", "sku_list")
-    position = join_null_safe(stock_totals(sources, params), lists, STOCK_KEYS, "left")
-    return position.withColumn("market", normalize_market(F.col("market"), PAN_EU))
+    """Stock totals under their planning market; `stock_members` has the skus behind each."""
+    market = normalize_market(F.col("market"), params.market_map(PAN_EU))
+    return stock_totals(sources, params).withColumn("market", market)
 
 
 def stock_members(sources: Sources, params: Params) -> DataFrame:
@@ -227,6 +227,11 @@ def stock_members(sources: Sources, params: Params) -> DataFrame:
     return value_counts(_latest_stock(sources), STOCK_KEYS, "sku")
 
 
+def stock_sku_list(sources: Sources, params: Params) -> DataFrame:
+    """The ordered sku list behind each stock total, in pieces of text."""
+    return value_pieces(_latest_stock(sources), STOCK_KEYS, "sku", "sku_list")
+
+
 def latest_products(sources: Sources) -> DataFrame:
     """Newest snapshot of each product without a successor."""
     products = sources["product_master"].filter(F.coalesce("successor_sku", F.lit("")) == "")
@@ -284,7 +289,7 @@ def open_po_lines(sources: Sources, params: Params) -> DataFrame:
         & (F.col("vendor_category") != INTERNAL_VENDORS)
         & F.expr("production_status <> 'Shipped' OR production_status IS NULL")
     )
-    market = normalize_market(F.col("market"), PAN_EU)
+    market = normalize_market(F.col("market"), params.market_map(PAN_EU))
     received, on_shipment = units(F.col("qty_received")), units(F.col("quantity_on_shipments"))
     covered = F.greatest(received, on_shipment, F.coalesce("shipped", F.lit(0)))
     return (
@@ -351,12 +356,20 @@ def average_prices(sources: Sources, params: Params) -> DataFrame:
     )
 
 
+PRICE_KEYS = ["listing_id", "marketplace"]
+
+
 def average_price_channels(sources: Sources, params: Params) -> DataFrame:
-    """Average prices with the text list of the sales channels that report one."""
-    keys = ["listing_id", "marketplace"]
+    """Average prices with the sales channels that report one, a row for each with its number of rows."""
+    prices = sources["avg_price_l30"].filter("gross_asp_l30 > 0")
+    channels = value_counts(prices, PRICE_KEYS, "sales_channel")
+    return join_null_safe(channels, average_prices(sources, params), PRICE_KEYS, "left")
+
+
+def sales_channel_list(sources: Sources, params: Params) -> DataFrame:
+    """The ordered list of sales channels behind each average price, in pieces of text."""
     prices = sources["avg_price_l30"].filter("gross_asp_l30 > 0")
-    lists = value_lists(prices, keys, "sales_channel", "sales_channel_list")
-    return join_null_safe(average_prices(sources, params), lists, keys, "left")
+    return value_pieces(prices, PRICE_KEYS, "sales_channel", "sales_channel_list")
 
 
 def dated_target_price(sources: Sources, params: Params) -> DataFrame:
@@ -368,7 +381,7 @@ def dated_target_price(sources: Sources, params: Params) -> DataFrame:
     )
     averages = average_prices(sources, params).withColumnRenamed("marketplace", "market_reporting")
     price = F.when(F.col("asp_benchmark") == 0, F.col("gross_asp_l30")).otherwise(F.col("asp_benchmark"))
-    market = normalize_market(F.col("market_reporting"), PAN_EU)
+    market = normalize_market(F.col("market_reporting"), params.market_map(PAN_EU))
     return benchmark.join(averages, ["listing_id", "market_reporting"], "left").select(
         ref_of(F.col("listing_id"), market).alias("ref"), price.alias("final_sales_price"), "date"
     )

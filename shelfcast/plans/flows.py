@@ -75,7 +75,7 @@ def weekly_demand(sources: Sources, params: Params) -> DataFrame:
 def opening_contributions(sources: Sources, params: Params) -> DataFrame:
     """Stock that can be sold, by ref and what the stock totals tell apart besides."""
     item = stock_item(F.col("listing_id"))
-    market = normalize_market(F.col("market"), PAN_EU)
+    market = normalize_market(F.col("market"), params.market_map(PAN_EU))
     total = F.col("total_inventory")
     if params.double_deduct:
         for location in ("in_walmart", "in_to_osc_l3m", "in_fm", "units_in_d2amz"):
@@ -141,7 +141,9 @@ def po_expected_dates(
     """
     spark = lines.sparkSession
     routes = dimensions.route_leadtime(spark, params.po_routes) if routes is None else routes
-    buffers = dimensions.port_buffer(spark) if buffers is None else buffers
+    if buffers is None:
+        known = dimensions.PO_BUFFERS if params.po_routes == "po" else None
+        buffers = dimensions.port_buffer(spark, known)
     region, market, wh_type = F.col("shipping_region"), F.col("market"), F.col("wh_type")
     ready = F.greatest(F.col("crd"), F.lit(params.as_of))
     if strict:
@@ -245,15 +247,15 @@ def dedupe_master(sources: Sources, params: Params) -> DataFrame:
 
 
 def dedupe_vendor(sources: Sources, params: Params) -> DataFrame:
-    """One row per vendor."""
-    vendors = extracts.vendor_latest(sources, params)
+    """One row per vendor of the raw vendor table, which may hold a vendor in several snapshots."""
+    vendors = sources["vendor_master"]
     rest = [F.asc_nulls_last(column) for column in vendors.columns if column != "vendor_id"]
     return latest_row(vendors, ["vendor_id"], rest)
 
 
 def active_flag(sources: Sources, params: Params) -> DataFrame:
     """Refs of active products, marked Yes."""
-    market = normalize_market(F.col("marketplace"), PAN_EU)
+    market = normalize_market(F.col("marketplace"), params.market_map(PAN_EU))
     refs = extracts.active_products(sources, params).select(
         ref_of(F.col("listing_id"), market).alias("ref")
     )

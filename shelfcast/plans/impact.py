@@ -2,56 +2,82 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfcast.functions.columns import ref_item, ref_market
-from shelfcast.functions.weeks import week_calendar, week_label
+from shelfcast.functions.weeks import week_label
 from shelfcast.params import Params
 from shelfcast.plans.waterfall import with_oos_marks
 
+# Column endings of the weekly layout.
+MEASURES = {
+    "demand": "demand",
+    "inbound": "inbound",
+    "po_signed": "open_po_signed",
+    "po_unsigned": "open_po_unsigned",
+    "inventory_start": "inventory_start",
+    "inventory_end": "inventory_end",
+    "sales_missed": "sales_missed_w",
+}
+
 # Weeks of demand ahead that the recommendations look at.
 DEMAND_WEEKS = [7, 10, 14, 18]
 
 
 def target_weeks(params: Params) -> Column:
-    """Weeks 1 to 52 of the target year, from the current one on if that year is running."""
+    """Weeks of the target year, from the current one on if that year is running.
+
+    Whether a week 53 counts is the calendar's decision.
+    """
     first = params.as_of.isocalendar().week if params.as_of.year == params.year else 1
-    return (F.col("iso_year") == params.year) & F.col("iso_week").between(first, 52)
+    return (F.col("iso_year") == params.year) & F.col("iso_week").between(first, 53)
 
 
-def ref_summary(weeks: DataFrame, params: Params) -> DataFrame:
-    """One row per ref out of its planning weeks.
+def ref_summary(weeks: DataFrame, params: Params, measures: Iterable[str] = ()) -> DataFrame:
+    """One row per ref out of its planning weeks, with a column per planned week for each of `measures`.
 
-    The weeks arrive by ref, so neither the windows nor the totals shuffle them again.
+    The weeks arrive by ref, so neither the windows nor the totals shuffle them again. A ref has at
+    most `horizon` weeks, so gathering them is bounded.
     """
-    ref = Window.partitionBy("ref")
-    final = F.coalesce(F.max("onset").over(ref), F.min("missing_from").over(ref))
     missed, demand = F.col("sales_missed"), F.col("demand")
+    marked = weeks if "onset" in weeks.columns else with_oos_marks(weeks)
+    week = F.struct("week_idx", "iso_year", "iso_week", missed.alias("missed"), *measures)
     # The week number of the final week out of stock counts, whatever its year.
-    from_final = (
-        (F.col("iso_year") == params.year)
-        & F.col("iso_week").between(F.weekofyear("oos_final"), 52)
+    from_final = F.filter(
+        "_weeks",
+        lambda w: (w.iso_year == params.year) & w.iso_week.between(F.weekofyear("oos_final"), 53),
     )
-    return (
-        with_oos_marks(weeks)
-        .withColumn("oos_final", final)
-        .groupBy("ref", "market_chars")
+    cells = [
+        F.coalesce(F.get("_weeks", F.lit(i))[name], F.lit(0.0)).alias(f"{label}_{MEASURES[name]}")
+        for i, label in enumerate(params.labels if measures else [])
+        for name in measures
+    ]
+    totals = (
+        marked.groupBy("ref", "market_chars")
         .agg(
             F.min("missing_from").alias("oos_first"),
             F.max("onset").alias("oos_last_onset"),
-            F.max("oos_final").alias("oos_final"),
             F.sum(demand).alias("total_demand"),
             F.coalesce(F.sum(missed), F.lit(0.0)).alias("total_missed"),
             _sum_where(target_weeks(params), missed).alias("missed_target_year"),
-            _sum_where(from_final, missed).alias("missed_from_oos"),
             *[
                 _sum_where(F.col("week_idx") < n, demand).alias(f"demand_{n}w")
                 for n in DEMAND_WEEKS
             ],
+            F.sort_array(F.collect_list(week)).alias("_weeks"),
         )
-        .withColumn("item", ref_item(F.col("ref"), F.col("market_chars")))
-        .withColumn("market", ref_market(F.col("ref"), F.col("market_chars")))
-        .drop("market_chars")
+        .withColumn("oos_final", F.coalesce("oos_last_onset", "oos_first"))
+    )
+    add = lambda total, w: total + F.coalesce(w.missed, F.lit(0.0))
+    names = [name for name in totals.columns if name not in ("_weeks", "market_chars")]
+    return totals.select(
+        *names,
+        F.coalesce(F.aggregate(from_final, F.lit(0.0), add), F.lit(0.0)).alias("missed_from_oos"),
+        ref_item(F.col("ref"), F.col("market_chars")).alias("item"),
+        ref_market(F.col("ref"), F.col("market_chars")).alias("market"),
+        *cells,
     )
 
 
@@ -69,8 +95,7 @@ def days_of_cover(first: Column, horizon_end: Column, params: Params) -> Column:
 
 def revenue_impact(summary: DataFrame, prices: DataFrame, params: Params) -> DataFrame:
     """Lost revenue of the target year per ref, all of it and from the final week out of stock."""
-    calendar = week_calendar(summary.sparkSession, params)
-    horizon_end = calendar.agg(F.max("week_start")).scalar()
+    horizon_end = F.lit(params.horizon_end).cast("date")
     price = F.coalesce("final_sales_price", F.lit(0.0))
     return (
         summary.join(prices, "ref", "left")

@@ -19,14 +19,13 @@ PULL_FORWARD = "Prepone PRD to produce faster"
 TEN_WEEK_MARKETS = ["US", "CA"]
 SEVEN_WEEK_MARKETS = ["EU", "UK"]
 AMAZON_MARKETS = ["US", "UK", "EU", "CA"]
-PROCESSING_DAYS = 15
 SAFETY_DAYS = 30
 
 
-def recommendations(df: DataFrame) -> DataFrame:
+def recommendations(df: DataFrame, carton_default: int = 1) -> DataFrame:
     """Adds the recommendations to refs with market, demand ahead, price and stock on its way.
 
-    A missing stock column or figure counts as 0, a missing carton size as 1.
+    A missing stock column or figure counts as 0, a missing carton size as `carton_default`.
     """
 
     def stock(name: str, default: float = 0) -> Column:
@@ -38,7 +37,7 @@ def recommendations(df: DataFrame) -> DataFrame:
     short = (market.isin(TEN_WEEK_MARKETS) & (pipeline < F.col("demand_10w"))) | (
         market.isin(SEVEN_WEEK_MARKETS) & (pipeline < F.col("demand_7w"))
     )
-    transfer = short & (local > stock("units_per_carton", 1))
+    transfer = short & (local > stock("units_per_carton", carton_default))
     late = on_the_way < F.col("demand_14w")
     expedite = late & (stock("manufacturing_28_126d") > F.col("demand_18w"))
     sooner = late & (stock("manufacturing_56p_168d") > on_the_way)
@@ -84,8 +83,12 @@ def lead_times(
         col_or(df, "lead_time_production_days", None).cast("int"), F.lit(params.production_default)
     )
     dated = lookup_route(df, routes, region, market, params.route_default)
-    dated = lookup_buffer(dated, buffers, wh_type, market, dimensions.market_buffer(market))
+    if params.lead_time_buffers == "market":
+        none = F.coalesce(market == region, F.lit(False))
+        dated = dated.withColumn("buffer_days", F.when(none, 0).otherwise(dimensions.market_buffer(market)))
+    else:
+        dated = lookup_buffer(dated, buffers, wh_type, market, dimensions.market_buffer(market))
     total = F.col("production_days") + F.col("route_days") + F.col("buffer_days")
     return dated.withColumn("production_days", production).withColumn(
-        "total_leadtime", total + PROCESSING_DAYS + SAFETY_DAYS
+        "total_leadtime", total + params.processing_days + SAFETY_DAYS
     )

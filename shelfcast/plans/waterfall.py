@@ -9,11 +9,44 @@ from shelfcast.functions.weeks import week_calendar
 from shelfcast.params import Params
 from shelfcast.plans import flows
 from shelfcast.plans.extracts import Sources
+from shelfcast.sources import dimensions
 
 FLOWS = ["demand", "inbound", "po_signed", "po_unsigned"]
 
 
 def all_flows(sources: Sources, params: Params) -> DataFrame:
+    """Rows of all flows and of the opening stock that have a ref, one measure filled in each."""
+    return flow_rows(sources, params).filter("ref IS NOT NULL")
+
+
+def left_out(sources: Sources, params: Params) -> DataFrame:
+    """Units of each flow that the plan leaves out, by reason; a row for every reason."""
+    rows = flow_rows(sources, params)
+    planned = week_calendar(rows.sparkSession, params).filter(F.col("week_idx") < params.horizon)
+    # The calendar has at most 157 rows.
+    rows = rows.join(F.broadcast(planned.select("week_idx", "week_start")), "week_start", "left")
+    reason = (
+        F.when(F.col("ref").isNull(), "no ref")
+        .when(F.col("opening").isNotNull() | F.col("week_idx").isNotNull(), None)
+        .when(F.col("week_start").isNull(), "no week")
+        .otherwise("outside the planned weeks")
+    )
+    orders = flows.open_po_with_origin(sources, params)
+    stages = dimensions.table("stage_class", sources)
+    other = orders.join(stages, F.col("current_status") == F.col("stage"), "left_anti").select(
+        F.lit("stage of no class").alias("reason"), F.col("leftover_quantity").cast("double").alias("po_other")
+    )
+    measures = [*FLOWS, "opening", "po_other"]
+    rows = rows.withColumn("reason", reason).filter(
+        F.col("reason").isNotNull() & F.coalesce(*FLOWS, "opening").isNotNull()
+    )
+    rows = rows.unionByName(other, allowMissingColumns=True)
+    return rows.groupBy("reason").agg(
+        *[F.coalesce(F.sum(F.col(name).cast("double")), F.lit(0.0)).alias(name) for name in measures]
+    )
+
+
+def flow_rows(sources: Sources, params: Params) -> DataFrame:
     """Rows of all flows and of the opening stock, one measure filled in each."""
     orders = flows.po_contributions(sources, params)
     signed = F.when(F.col("klass") == "signed", F.col("quantity"))
@@ -32,7 +65,7 @@ def all_flows(sources: Sources, params: Params) -> DataFrame:
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part, allowMissingColumns=True)
-    return result.filter("ref IS NOT NULL")
+    return result
 
 
 def weekly_flow(contributions: DataFrame, params: Params) -> DataFrame:
@@ -56,7 +89,15 @@ def weekly_flow(contributions: DataFrame, params: Params) -> DataFrame:
 
 
 def _scaled(value: Column, params: Params) -> Column:
-    return F.round(value * 10**params.quantity_decimals).cast("long")
+    """Whole number of the smallest unit kept; fails where that is not the quantity itself.
+
+    A sum of doubles may be off by far less than a thousandth of the unit.
+    """
+    exact = value * 10**params.quantity_decimals
+    whole = F.round(exact)
+    message = F.concat(F.lit(f"more than {params.quantity_decimals} decimals: "), value.cast("string"))
+    fine = F.abs(exact - whole) <= F.greatest(F.lit(0.001), F.abs(exact) * 1e-12)
+    return F.when(value.isNull() | fine, whole).otherwise(F.raise_error(message)).cast("long")
 
 
 def dense_weeks(weekly: DataFrame, params: Params) -> DataFrame:

@@ -7,28 +7,16 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfcast.functions.weeks import calendar_labels
 from shelfcast.params import Params
-
-# Column endings of the weekly layout.
-MEASURES = {
-    "demand": "demand",
-    "inbound": "inbound",
-    "po_signed": "open_po_signed",
-    "po_unsigned": "open_po_unsigned",
-    "inventory_start": "inventory_start",
-    "inventory_end": "inventory_end",
-    "sales_missed": "sales_missed_w",
-}
-
+from shelfcast.plans.impact import MEASURES
 
 def wide_weekly(weeks: DataFrame, params: Params, measures: list[str]) -> DataFrame:
     """One row per ref, a column `CWww-YYYY_<measure>` per planned week; cells without a row hold 0.
 
-    The labels are known from the calendar, so no job looks for them, and rows that lie by ref
+    The labels are known from the parameters, so no job looks for them, and rows that lie by ref
     already are not shuffled again.
     """
-    labels = calendar_labels(params, weeks.sparkSession)
+    labels = params.labels
     cells = [F.coalesce(F.sum(name), F.lit(0.0)).alias(MEASURES[name]) for name in measures]
     if len(measures) == 1:
         wide = weeks.groupBy("ref").pivot("label", labels).agg(*cells)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
 # Transport days by departure and arrival region.
 ROUTE_DAYS = {
@@ -211,14 +211,24 @@ def read_asia_country(spark: SparkSession, path: str) -> DataFrame:
     return read_dimension(spark, path, "country string")
 
 
-def read_rules(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Stage classes and market map out of a JSON rules document."""
+# Dimension files that replace a built-in table, by its name.
+READERS = {
+    "route_leadtime": read_route_leadtime,
+    "port_buffer": read_port_buffer,
+    "country_region": read_country_region,
+    "asia_country": read_asia_country,
+}
+
+
+def read_rules(spark: SparkSession, path: str) -> tuple[DataFrame, Row]:
+    """Stage classes, and one row of market names and thresholds, out of a JSON rules document."""
     rules = spark.read.schema(
-        "marketplace_mappings map<string,string>, signed_stages array<string>, unsigned_stages array<string>"
+        "marketplace_mappings map<string,string>, signed_stages array<string>, unsigned_stages array<string>, "
+        "po_splitting struct<default_lead_time_days:int,po_processing_time:int>, "
+        "inventory_thresholds struct<min_units_per_carton:int>"
     ).json(path, multiLine=True)
     stages = rules.select(F.explode("signed_stages").alias("stage"), F.lit("signed").alias("klass"))
     stages = stages.unionByName(
         rules.select(F.explode("unsigned_stages").alias("stage"), F.lit("unsigned").alias("klass"))
     )
-    markets = rules.select(F.explode("marketplace_mappings").alias("raw", "market"))
-    return stages, markets
+    return stages, rules.select("marketplace_mappings", "po_splitting.*", "inventory_thresholds.*").first()

@@ -1,5 +1,8 @@
 """Schemas of the source tables, and of the table of planning inputs for recommendations."""
 
+# Sources that a run can do without.
+OPTIONAL = ["pipeline_stock"]
+
 SCHEMAS = {
     "product_master": """
         sku string, listing_id string, lead_time_production_days int, units_per_carton int,

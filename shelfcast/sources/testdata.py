@@ -45,8 +45,8 @@ def _day(text: str, days: int) -> str:
     return f"date_add({text}, {days})"
 
 
-def _german(text: str, days: int) -> str:
-    return f"date_format(date_add({text}, {days}), 'dd.MM.yyyy')"
+def _german(text: str, days: int, pattern: str = "dd.MM.yyyy") -> str:
+    return f"date_format(date_add({text}, {days}), '{pattern}')"
 
 
 class TestdataSources(Mapping):
@@ -133,10 +133,9 @@ def sku_vendor_map(s: TestdataSources) -> DataFrame:
 
 
 def _ordered(s: TestdataSources) -> DataFrame:
-    """Lines taken as purchase order lines."""
-    start = F.lit(s.as_of - timedelta(days=60)).cast("timestamp_ntz")
-    lines = s.given("lineitem").filter((F.col("l_linestatus") == "O") & (F.col("l_shipdate") >= start))
-    return lines.selectExpr(
+    """All lines as purchase order lines; `past` ones were settled long ago."""
+    return s.given("lineitem").selectExpr(
+        f"l_linestatus = 'F' OR l_shipdate < {s.ago(60)} AS past",
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_returnflag", "cast(l_shipdate AS date) AS day", "l_suppkey % 5 AS zone",
         "concat('PO', l_orderkey) AS document_number",
@@ -167,8 +166,8 @@ def po_lines(s: TestdataSources) -> DataFrame:
             ELSE concat('WH_', {_pick(SITES, 'zone')}, '_1') END AS deliver_to_location""",
         """CASE l_orderkey % 8 WHEN 0 THEN NULL WHEN 1 THEN 'a B2B order' WHEN 2 THEN 'SHOPIFY drop'
             ELSE 'regular' END AS memo""",
-        """CASE l_orderkey % 12 WHEN 0 THEN 'Closed' WHEN 1 THEN 'Legacy Closed' WHEN 2 THEN 'Fully Billed'
-            WHEN 3 THEN 'Rejected by Supervisor' WHEN 4 THEN NULL ELSE 'Pending Receipt' END AS final_status""",
+        """CASE WHEN past THEN 'Closed' ELSE CASE l_orderkey % 12 WHEN 0 THEN 'Closed' WHEN 1 THEN 'Legacy Closed' WHEN 2 THEN 'Fully Billed'
+            WHEN 3 THEN 'Rejected by Supervisor' WHEN 4 THEN NULL ELSE 'Pending Receipt' END END AS final_status""",
         "CASE l_linenumber WHEN 1 THEN 'Shipped' WHEN 2 THEN NULL ELSE 'In Production' END AS production_status",
         "CASE WHEN l_linenumber % 2 = 0 THEN 'On time' ELSE 'Late' END AS prd_status",
         "CASE WHEN l_orderkey % 3 = 0 THEN 'Yes' END AS prd_reconfirmation",
@@ -178,7 +177,7 @@ def po_lines(s: TestdataSources) -> DataFrame:
         f"CASE WHEN l_linenumber = 4 THEN '?' ELSE cast({_day('day', -25)} AS string) END AS planned_prd",
         """CASE WHEN l_partkey % 41 = 0 THEN 'TBD' WHEN l_partkey % 7 = 3 THEN NULL
             ELSE cast(day AS string) END AS confirmed_crd""",
-        f"{_german('day', -40)} AS first_prd",
+        f"CASE WHEN l_linenumber = 3 THEN {_german('day', -40, 'd.M.yyyy')} ELSE {_german('day', -40)} END AS first_prd",
         f"{_german('day', -35)} AS accepted_prd",
         f"{_german('day', 45)} AS expected_po_arrival_date",
         f"CASE WHEN l_linenumber = 6 THEN '' ELSE {_german('day', 3)} END AS planned_pickup_date",
@@ -216,14 +215,21 @@ def po_status(s: TestdataSources) -> DataFrame:
 
 
 def shipment_lines(s: TestdataSources) -> DataFrame:
-    return _ordered(s).filter("l_returnflag <> 'R'").selectExpr(
-        "concat('INB', l_orderkey div 4) AS shipment_number",
+    # Some lines are on a second shipment, of which there is no header. Nothing is expected of returned
+    # lines and of past ones.
+    lines = _ordered(s).selectExpr(
+        "*",
+        "past OR l_returnflag = 'R' AS settled",
+        "explode(CASE WHEN (l_orderkey div 4) % 11 = 0 THEN array('INB', 'LOST') ELSE array('INB') END) AS kind",
+    )
+    return lines.selectExpr(
+        "concat(kind, l_orderkey div 4) AS shipment_number",
         "po_line_key",
         "document_number AS po",
         "cast(l_partkey AS string) AS sku",
         "concat('V', l_suppkey) AS vendor",
         "concat('RL', zone) AS receiving_location",
-        """CASE l_linenumber WHEN 5 THEN 0 WHEN 6 THEN NULL
+        """CASE WHEN settled THEN 0 WHEN l_linenumber = 5 THEN 0 WHEN l_linenumber = 6 THEN NULL
             ELSE cast(l_quantity AS bigint) div 3 END AS quantity_expected""",
         "CASE WHEN l_linenumber = 2 THEN NULL ELSE cast(l_quantity AS bigint) END AS quantity_remaining_to_be_received",
         """CASE l_linenumber WHEN 5 THEN -1 WHEN 3 THEN -1 WHEN 7 THEN NULL
@@ -234,9 +240,7 @@ def shipment_lines(s: TestdataSources) -> DataFrame:
 def shipment_headers(s: TestdataSources) -> DataFrame:
     ships = (
         _ordered(s)
-        .filter("l_returnflag <> 'R'")
         .withColumn("num", F.expr("l_orderkey div 4"))
-        .filter("num % 11 <> 0")
         .groupBy("num")
         .agg(F.max("day").alias("day"), F.min("zone").alias("zone"))
         .selectExpr(
@@ -260,18 +264,20 @@ def shipment_headers(s: TestdataSources) -> DataFrame:
         "CASE WHEN num % 3 = 0 THEN date_add(day, 6) END AS actual_shipping_date",
         "CASE WHEN num % 2 = 0 THEN date_add(day, 20) END AS actual_arrival_date",
         "cast(NULL AS date) AS actual_delivery_date",
-        f"CASE WHEN num % 13 = 0 THEN NULL ELSE {_german('day', -15)} END AS date_created",
+        f"""CASE WHEN num % 13 = 0 THEN NULL WHEN num % 2 = 0 THEN {_german('day', -15, 'd.M.yyyy')}
+            ELSE {_german('day', -15)} END AS date_created""",
         f"date_sub({s.ago(1)}, 7 * age) AS snapshot_date",
     )
 
 
 def stock_snapshots(s: TestdataSources) -> DataFrame:
-    end = F.lit(s.as_of).cast("timestamp_ntz")
-    lines = s.given("lineitem").filter((F.col("l_linestatus") == "F") & (F.col("l_shipdate") < end))
+    # Lines still open are stock of an older snapshot.
+    lines = s.given("lineitem")
     part = "CASE WHEN cast(round(l_tax * 100) AS int) = {n} THEN floor(l_quantity / 4) ELSE 0.0D END"
     location = "CASE WHEN cast(round(l_discount * 100) AS int) = {n} THEN l_quantity ELSE 0.0D END"
     return lines.selectExpr(
-        f"CASE WHEN l_linenumber = 7 THEN {s.ago(8)} ELSE {s.ago(1)} END AS snapshot_date",
+        f"""CASE WHEN l_linestatus <> 'F' OR l_shipdate >= {s.ago(0)} THEN {s.ago(15)}
+            WHEN l_linenumber = 7 THEN {s.ago(8)} ELSE {s.ago(1)} END AS snapshot_date""",
         _listing("l_partkey") + " AS listing_id",
         "CASE WHEN l_partkey % 89 = 0 THEN NULL ELSE cast(l_partkey AS string) END AS sku",
         _pick(STOCK_LABELS, "l_suppkey % 5") + " AS market",
@@ -354,11 +360,11 @@ def vendor_master(s: TestdataSources) -> DataFrame:
 
 
 def pipeline_stock(s: TestdataSources) -> DataFrame:
-    """Units on their way to each ref by how soon they arrive."""
-    lines = s.given("lineitem").filter("l_linestatus = 'F'").selectExpr(
+    """Units on their way to each ref by how soon they arrive; lines still open count none."""
+    lines = s.given("lineitem").selectExpr(
         f"coalesce(nullif({_listing('l_partkey')}, ''), cast(l_partkey AS string)) AS item",
         f"replace({_pick(STOCK_LABELS, 'l_suppkey % 5')}, 'Pan-EU', 'EU') AS market",
-        "l_linenumber", "l_quantity", "l_partkey",
+        "l_linenumber", "l_partkey", "CASE WHEN l_linestatus = 'F' THEN l_quantity ELSE 0.0D END AS l_quantity",
     )
 
     def line(number: int, name: str):
