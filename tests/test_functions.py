@@ -63,9 +63,9 @@ def test_numbers(spark):
 
 
 def test_german_dates(spark):
-    rows = [("05.01.2000",), ("31.02.2000",), ("2000-01-05",), ("",), ("05.01.2000 10:00",), (None,)]
+    rows = [("05.01.2000",), ("5.1.2000",), ("31.2.2000",), ("2000-01-05",), ("",), ("05.01.2000 10:00",), ("5.1.20",), (None,)]
     assert values(spark, "t string", rows, columns.german_date(F.col("t"))) == [
-        date(2000, 1, 5), None, None, None, None, None,
+        date(2000, 1, 5), date(2000, 1, 5), None, None, None, None, None, None,
     ]
 
 
@@ -139,7 +139,7 @@ def test_calendar_steps_through_the_weeks(spark, as_of, drop):
     got = weeks.week_calendar(spark, Params(as_of, drop_week_53=drop)).orderBy("week_idx").collect()
     assert [(r.week_idx, r.week_start, r.label) for r in got] == expected
     assert 104 <= len(got) <= 157
-    assert weeks.calendar_labels(Params(as_of, horizon=5), spark) == [
+    assert Params(as_of, horizon=5).labels == [
         r.label for r in weeks.week_calendar(spark, Params(as_of)).orderBy("week_idx").limit(5).collect()
     ]
 

@@ -50,20 +50,41 @@ def test_audit_counts_fan_out(spark):
     assert audit.collect()[0].asDict() == {"left_rows": 3, "result_rows": 4, "repeated_keys": 1}
 
 
+def test_audit_joins_no_rows(spark):
+    left = spark.createDataFrame([(1,), (None,)], "k int")
+    right = spark.createDataFrame([(1, "a"), (None, "b")], "k int, v string")
+    for how, rows in (("left", 2), ("inner", 1)):
+        audit = joins.audited_join(left, right, ["k"], how)[1]
+        assert audit.collect()[0].result_rows == rows == left.join(right, ["k"], how).count()
+    # A key that repeats 20,000 times on both sides would make 400 million rows.
+    hot = spark.range(20_000).selectExpr("1 AS k", "id")
+    assert joins.audited_join(hot, hot, ["k"])[1].collect()[0].result_rows == 400_000_000
+    empty = left.limit(0)
+    assert joins.audited_join(empty, right, ["k"])[1].collect()[0].asDict() == {
+        "left_rows": 0, "result_rows": 0, "repeated_keys": 0}
+    with pytest.raises(ValueError, match="how"):
+        joins.audited_join(left, right, ["k"], "full")
+
+
+def whole_lists(pieces):
+    out = {}
+    for row in sorted(pieces.collect(), key=lambda r: (r.v, r.piece)):
+        out.setdefault(row.k, []).append(row.l)
+    return {k: ", ".join(texts) for k, texts in out.items()}
+
+
 def test_lists_are_ordered_and_keep_repeats(spark):
     rows = [("a", "y"), ("a", "x"), ("a", "y"), ("a", None), (None, "z"), ("b", None)]
     df = spark.createDataFrame(rows, "k string, v string")
-    got = {r.k: (r.l, r.l_bytes) for r in joins.value_lists(df, ["k"], "v", "l").collect()}
-    assert got == {"a": ("x, y, y", 7), None: ("z", 1)}
+    assert whole_lists(joins.value_pieces(df, ["k"], "v", "l")) == {"a": "x, y, y", None: "z"}
 
 
-def test_long_lists_are_not_gathered_but_stay_countable(spark, monkeypatch):
-    monkeypatch.setattr(joins, "LIST_BYTES", 5)
-    df = spark.createDataFrame([("a", "xx"), ("a", "yy"), ("b", "z")], "k string, v string")
-    got = {r.k: (r.l, r.l_bytes) for r in joins.value_lists(df, ["k"], "v", "l").collect()}
-    assert got == {"a": (None, 6), "b": ("z", 1)}
-    counts = joins.value_counts(df, ["k"], "v").collect()
-    assert sorted((r.k, r.v, r.n) for r in counts) == [("a", "xx", 1), ("a", "yy", 1), ("b", "z", 1)]
+def test_long_lists_come_out_whole_in_bounded_pieces(spark):
+    df = spark.range(25_000).selectExpr("'a' AS k", "CASE WHEN id < 20000 THEN 'Amazon' ELSE concat('s', id) END AS v")
+    pieces = joins.value_pieces(df, ["k"], "v", "l")
+    values = ["Amazon"] * 20_000 + [f"s{i}" for i in range(20_000, 25_000)]
+    assert whole_lists(pieces) == {"a": ", ".join(values)}
+    assert max(len(row.l) for row in pieces.collect()) == 8 * joins.PIECE_VALUES - 2
 
 
 def test_route_lookup(spark):
@@ -106,8 +127,10 @@ def test_dimension_files(spark, tmp_path):
 def test_rules_document(spark, tmp_path):
     path = tmp_path / "rules.json"
     path.write_text(
-        '{"marketplace_mappings": {"DE": "EU", "GB": "UK"},\n "signed_stages": ["s1", "s2"],\n "unsigned_stages": ["u1"]}'
+        '{"marketplace_mappings": {"DE": "EU", "GB": "UK"},\n "signed_stages": ["s1", "s2"],\n "unsigned_stages": ["u1"],'
+        ' "po_splitting": {"po_processing_time": 9}}'
     )
-    stages, markets = dimensions.read_rules(spark, str(path))
+    stages, rules = dimensions.read_rules(spark, str(path))
     assert sorted((r.stage, r.klass) for r in stages.collect()) == [("s1", "signed"), ("s2", "signed"), ("u1", "unsigned")]
-    assert {r.raw: r.market for r in markets.collect()}.items() <= MARKET_MAP.items()
+    assert rules.marketplace_mappings.items() <= MARKET_MAP.items()
+    assert (rules.po_processing_time, rules.min_units_per_carton) == (9, None)

@@ -12,7 +12,7 @@ from shelfcast.plans.allocation import ALLOCATION, allocation, plan_allocation
 from shelfcast.plans.impact import days_of_cover, oos_labels, ref_summary, revenue_impact, run_summary
 from shelfcast.plans.recommend import lead_times, recommendations
 from shelfcast.plans.waterfall import (
-    FLOWS, dense_weeks, oos_weeks, run_waterfall, weekly_flow, with_dates,
+    FLOWS, dense_weeks, left_out, oos_weeks, run_waterfall, weekly_flow, with_dates, with_oos_marks,
 )
 
 AS_OF = date(1998, 3, 2)
@@ -200,7 +200,9 @@ def test_price_is_the_newest_benchmark_or_the_average(source, sources, params):
     got = {r.ref: r.final_sales_price for r in flows.price_per_ref(tables, params).collect()}
     assert got == {"AUS": 6.0, "BUS": 4.0, "CEU": 2.0, "DUS": None}
     channels = extracts.average_price_channels(tables, params).collect()
-    assert [(r.gross_asp_l30, r.sales_channel_list) for r in channels] == [(4.0, "x, y")]
+    assert sorted((r.gross_asp_l30, r.sales_channel, r.n) for r in channels) == [(4.0, "x", 1), (4.0, "y", 1)]
+    texts = extracts.sales_channel_list(tables, params).collect()
+    assert sorted((r.sales_channel, r.piece, r.sales_channel_list) for r in texts) == [("x", 0, "x"), ("y", 0, "y")]
 
 
 def test_unknown_query_fails(sources, params):
@@ -582,4 +584,77 @@ def test_whole_run_from_tables_to_files(spark, source, sources, tmp_path, capsys
     rows = spark.read.option("header", True).csv(str(result)).collect()
     assert [(r.ref, r["CW14-1998_sales_missed_w"], r["CW20-1998_sales_missed_w"]) for r in rows] == [("LUS", "5.0", "0.0")]
     stages = {path.name for path in (tmp_path / "out" / "run_date=1998-03-02" / "debug").iterdir()}
-    assert stages == {"weekly_flow", "sales_missed", "run_summary"}
+    assert stages == {"weekly_flow", "sales_missed", "per_ref", "left_out", "run_summary"}
+
+
+def test_run_takes_routes_and_rules_from_files(spark, source, sources, tmp_path, capsys):
+    from shelfcast.__main__ import main
+
+    tables = sources(sales_plan=source("sales_plan", plan_row()))
+    for name, table in tables.items():
+        if name != "pipeline_stock":
+            table.write.parquet(str(tmp_path / "in" / name))
+    (tmp_path / "dims").mkdir()
+    (tmp_path / "dims" / "port_buffer.csv").write_text("wh_type,location,days\nAMZ,GB2,3\n")
+    rules = tmp_path / "rules.json"
+    rules.write_text('{"marketplace_mappings": {"US": "GB2"}, "signed_stages": ["s"], "unsigned_stages": ["u"],'
+                     ' "po_splitting": {"po_processing_time": 1, "default_lead_time_days": 2}}')
+    main(["--sources", str(tmp_path / "in"), "--out", str(tmp_path / "out"), "--as-of", AS_OF.isoformat(),
+          "--without", "pipeline_stock", "--dimensions", str(tmp_path / "dims"), "--rules", str(rules), "--debug"])
+    capsys.readouterr()
+    row = spark.read.option("header", True).csv(str(next((tmp_path / "out").glob("inventory_allocation_*")))).collect()[0]
+    # Production 2, route 45, buffer of an unknown market 39, processing 1, safety 30.
+    assert (row.ref, row.market, row.total_leadtime) == ("LGB2", "GB2", str(2 + 45 + 39 + 1 + 30))
+    stages = {path.name for path in (tmp_path / "out" / "run_date=1998-03-02" / "debug").iterdir()}
+    assert set(extracts.EXTRACTS) <= stages
+
+
+def test_summary_of_written_weeks_needs_no_window(spark, params, tmp_path):
+    weeks = weeks_of(spark, [flow("a", 0, 4.0), flow("b", 60, 6.0), stock("b", 2.0)], params)
+    written = sinks.write_stage(with_oos_marks(weeks), str(tmp_path), "weeks", AS_OF)
+    summary = ref_summary(written, params, ["sales_missed"])
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.count("Exchange hashpartitioning") == 1
+    plain = ref_summary(weeks, params)
+    assert sorted(summary.select(plain.columns).collect()) == sorted(plain.collect())
+    wide = sinks.wide_weekly(weeks, params, ["sales_missed"])
+    assert sorted(summary.select([f"`{c}`" for c in wide.columns]).collect()) == sorted(wide.collect())
+
+
+def test_registered_reports_are_not_sorted(source, sources, params):
+    tables = sources(sales_plan=source("sales_plan", plan_row()))
+    for name in extracts.REPORT_ORDER:
+        plan = extracts.extract(name, tables, params)._jdf.queryExecution().executedPlan().toString()
+        assert "rangepartitioning" not in plan
+
+
+def test_finer_quantities_fail(spark, params):
+    assert weeks_of(spark, [flow("a", 0, 0.1), flow("a", 0, 0.2)], params).count() == 104
+    with pytest.raises(Exception, match="more than 4 decimals"):
+        weeks_of(spark, [flow("a", 0, 0.00005)], params).collect()
+
+
+def test_units_left_out_by_reason(source, sources, params):
+    tables = sources(sales_plan=source("sales_plan", plan_row(), plan_row(date=date(1998, 12, 1), quantity=310.0)))
+    rows = {r.reason: r.demand for r in left_out(tables, params).collect()}
+    # Of the 31 days of December 1998 the last four are in week 53, which the calendar leaves out.
+    assert rows == {"outside the planned weeks": 40.0}
+    assert left_out(tables, replace(params, drop_week_53=False)).count() == 0
+
+
+def test_narrow_buffers_belong_to_the_narrow_routes(spark, params):
+    lines = spark.sql("SELECT 'CN' AS shipping_region, 'CA' AS market, 'AMZ' AS wh_type, DATE'1998-03-02' AS crd")
+    days = [flows.po_expected_dates(lines, replace(params, po_routes=r)).collect()[0].buffer_days for r in ("all", "po")]
+    assert days == [25, 39]
+
+
+def test_lead_time_buffer_by_market(spark, params):
+    refs = spark.createDataFrame([("UK", "UK"), ("BR", "CN"), ("US", None)], "market string, shipping_region string")
+    got = lead_times(refs, replace(params, lead_time_buffers="market")).collect()
+    assert {r.market: r.buffer_days for r in got} == {"UK": 0, "BR": 36, "US": 39}
+
+
+def test_vendor_rows_that_repeat_are_removed(source, sources, params):
+    rows = [{"vendor_id": v, "vendor_name": n} for v, n in (("V1", "b"), ("V1", "a"), ("V2", None), ("V2", "c"))]
+    got = flows.dedupe_vendor(sources(vendor_master=source("vendor_master", *rows)), params).collect()
+    assert sorted((r.vendor_id, r.vendor_name) for r in got) == [("V1", "a"), ("V2", "c")]
