@@ -6,7 +6,10 @@ source gives is then whole repetitions of all its documents, and one more of doc
 seeded hash until the rest of its target is reached.
 
 The draw needs no sort of a source: words are added up in bins of the hash, before the shuffle, and
-only the bin in which the target is reached is decided row by row. A null source is a source of its
+documents are taken in the hash's order as far as they fit. What is then left of a target is filled by
+later documents that are small enough, in further passes of the same kind.
+
+A null source is a source of its
 own, last in order; a null or empty text has size 0 and is never taken; a source without words has
 target 0. An empty table gives an empty result. Rows that repeat with the same id share one draw and
 are taken together only as far as the target goes. Extra columns are left out by `mixed`.
@@ -20,7 +23,7 @@ from shelfcast.llm.common import WORD, documents, ranked, settled
 
 # Weights by a source's place in order, repeating; words of the mix per word of the input; most repetitions.
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
-SEED, BINS = "mix-1", 4096
+SEED, BINS, PASSES = "mix-1", 4096, 3
 
 
 def words(text: str = "text") -> Column:
@@ -63,6 +66,26 @@ def water_filled(sizes: DataFrame, weights: tuple[int, ...], share: float, most:
     return table.select("source", "source_size", target.alias("target"))
 
 
+def same(name: str, other: str) -> Column:
+    return F.col(name).eqNullSafe(F.col(other))
+
+
+def drawn(rows: DataFrame, quotas: DataFrame) -> DataFrame:
+    """Rows that fit into what is `left` to their source, taken in order of their draw; the others go.
+
+    A source is spread over its bins, in the join as in the window; it has at most BINS sums.
+    """
+    small = rows.join(quotas.withColumnRenamed("source", "_source"), same("source", "_source")).drop("_source")
+    small = small.filter("size > 0 AND size <= left")
+    before = F.sum("words").over(Window.partitionBy("source").orderBy("bin")) - F.col("words")
+    sums = small.groupBy("source", "bin").agg(F.sum("size").alias("words"))
+    sums = sums.select(F.col("source").alias("_source"), F.col("bin").alias("_bin"), before.alias("before"))
+    within = Window.partitionBy("source", "bin").orderBy("draw", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    placed = small.join(sums, same("source", "_source") & (F.col("bin") == F.col("_bin")))
+    reached = placed.withColumn("reached", F.col("before") + F.sum("size").over(within))
+    return reached.filter("reached <= left").select(*rows.columns)
+
+
 def mixed(
     docs: DataFrame,
     weights: tuple[int, ...] = WEIGHTS,
@@ -72,37 +95,30 @@ def mixed(
 ) -> DataFrame:
     """doc_id, source, size, source_size, target, and `times` each document is taken."""
     rows = docs.select("doc_id", "source", words().alias("size"), draw(seed).alias("draw"))
-    rows = rows.withColumn("bin", F.col("draw") % BINS)
-    bins = settled(rows.groupBy("source", "bin").agg(F.sum("size").alias("words")))
-    sizes = bins.groupBy("source").agg(F.sum("words").alias("source_size"))
+    rows = settled(rows.withColumn("bin", F.col("draw") % BINS))
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = water_filled(sizes, weights, share, most)
-    before = Window.partitionBy("source").orderBy("bin")
-    # A source has at most BINS rows here.
-    bins = bins.withColumn("before", F.sum("words").over(before) - F.col("words")).withColumn(
-        "bin_end", F.col("before") + F.col("words")
-    )
-    plan = bins.join(targets.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).select(
-        F.col("source").alias("_source"),
-        F.col("bin").alias("_bin"),
-        "before",
-        "source_size",
-        "target",
-        F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).alias("whole"),
-    )
-    plan = plan.withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
-    matched = rows.source.eqNullSafe(F.col("_source")) & (rows.bin == F.col("_bin"))
-    # A hot source is spread over its bins, in the join as in the window.
-    within = Window.partitionBy("source", "bin").orderBy("draw", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    reached = F.col("before") + F.coalesce(F.sum("size").over(within), F.lit(0))
-    # The document on the edge is taken if that brings the source nearer to its target.
-    more = reached + F.col("size") / 2 <= F.col("rest")
-    return rows.join(plan, matched).select(
-        "doc_id",
-        "source",
-        "size",
-        "source_size",
-        "target",
-        F.when(F.col("size") > 0, F.col("whole") + more.cast("long")).otherwise(0).cast("long").alias("times"),
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
+    targets = targets.withColumn("whole", whole)
+    quotas = targets.select("source", (F.col("target") - F.col("whole") * F.col("source_size")).alias("left"))
+    left, taken = rows, []
+    for _ in range(PASSES):
+        found = settled(drawn(left, quotas))
+        taken.append(found)
+        used = found.groupBy(F.col("source").alias("_source")).agg(F.sum("size").alias("used"))
+        quotas = quotas.join(used, same("source", "_source"), "left").select(
+            "source", (F.col("left") - F.coalesce("used", F.lit(0))).alias("left")
+        )
+        quotas = settled(quotas)
+        left = left.join(found.select("doc_id").distinct(), "doc_id", "left_anti")
+    once = taken[0]
+    for found in taken[1:]:
+        once = once.union(found)
+    once = once.select(F.col("doc_id").alias("_id"), F.lit(1).alias("more")).distinct()
+    out = rows.join(targets.withColumnRenamed("source", "_source"), same("source", "_source"))
+    times = F.when(F.col("size") > 0, F.col("whole") + F.coalesce("more", F.lit(0))).otherwise(0)
+    return out.join(once, same("doc_id", "_id"), "left").select(
+        "doc_id", "source", "size", "source_size", "target", times.cast("long").alias("times")
     )
 
 
