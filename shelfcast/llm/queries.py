@@ -1,4 +1,4 @@
-"""Queries of the subpackage and their DuckDB counterparts."""
+"""Queries of the subpackage; their DuckDB counterparts, where there are any, are in `sql`."""
 
 from __future__ import annotations
 
@@ -15,8 +15,11 @@ from shelfcast.llm.repeats import op3_repeats
 from shelfcast.llm.scoring import op4_backoff_scores
 from shelfcast.llm.secrets import op2_secret_scan
 from shelfcast.llm.sharding import op10_sharding
+from shelfcast.llm.sql import oracle_sql
 from shelfcast.llm.vectors import op1_near_vectors
 
+__all__ = ["oracle_sql", "queries"]
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
@@ -31,7 +34,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_language_id": op9_language_id,
         "op10_sharding": op10_sharding,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
