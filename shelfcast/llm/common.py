@@ -76,31 +76,41 @@ def _arrow_schema(spark: SparkSession, ddl: str) -> pa.Schema:
 def components(links: DataFrame) -> DataFrame:
     """(id, component_id) of every id in `links` (a, b): the smallest id reachable, itself included.
 
-    Each round points every id at its smallest neighbour, follows the pointers once more, and puts
-    the pointers' ends in place of the ids in the links, so that links shrink until none is left.
-    The minimum is taken before the shuffle; the joins on hot ids are equi-joins that Spark splits.
+    Each round points every id at its smallest neighbour, follows the pointers to their ends, and puts
+    the ends in place of the ids in the links. Every tree of pointers becomes one id, so rounds and the
+    jumps of each are logarithms of the number of ids, for chains too. The minimum is taken before the
+    shuffle; the joins on hot ids are equi-joins that Spark splits.
     """
     links = settled(links.filter("a <> b").distinct())
     ids = links.select(F.col("a").alias("id")).union(links.select(F.col("b").alias("id"))).distinct()
     found = settled(ids.select("id", F.col("id").alias("component_id")))
     while not links.isEmpty():
         both = links.union(links.select("b", "a"))
-        near = both.groupBy("a").agg(F.least("a", F.min("b")).alias("low"))
-        step = near.select(F.col("a").alias("b"), F.col("low").alias("lower"))
-        jump = near.join(step, near.low == step.b).select(near.a, F.least("low", "lower").alias("low"))
-        jump = settled(jump)
-        found = found.join(jump, found.component_id == jump.a, "left").select(
+        ends = _ends(both.groupBy("a").agg(F.least("a", F.min("b")).alias("low")))
+        found = found.join(ends, found.component_id == ends.a, "left").select(
             "id", F.coalesce("low", "component_id").alias("component_id")
         )
         found = settled(found)
-        left = jump.select("a", F.col("low").alias("low_a"))
-        right = jump.select(F.col("a").alias("b"), F.col("low").alias("low_b"))
+        left = ends.select("a", F.col("low").alias("low_a"))
+        right = ends.select(F.col("a").alias("b"), F.col("low").alias("low_b"))
         links = links.join(left, "a").join(right, "b")
         links = links.select(F.col("low_a").alias("a"), F.col("low_b").alias("b"))
         links = settled(links.filter("a <> b").distinct())
     return found
 
 
+def _ends(pointers: DataFrame) -> DataFrame:
+    """(a, low) with every pointer followed to the id that points at itself."""
+    pointers = settled(pointers)
+    while True:
+        further = pointers.select(F.col("a").alias("_at"), F.col("low").alias("_low"))
+        jumped = pointers.join(further, F.col("low") == F.col("_at"))
+        jumped = settled(jumped.select("a", F.col("_low").alias("low"), (F.col("low") != F.col("_low")).alias("moved")))
+        pointers = jumped.select("a", "low")
+        if jumped.filter("moved").isEmpty():
+            return pointers
+
+
 def ranked(df: DataFrame, order: list[Column]) -> DataFrame:
     """Adds `rank`, gapless from 0 in the given order, without bringing all rows into one task.
 
