@@ -24,7 +24,7 @@ from shelfcast.llm.common import blobs, components, documents, forest, in_groups
 
 VALUES, TREES, LEVELS = 64, 12, 6
 # Rows of a node that is compared rather than branched, and of a chunk of one that cannot branch.
-NODE, CHUNK = 400, 20_000
+NODE, CHUNK = 2_000, 20_000
 # Bytes of the full sets in a chunk of a class of candidates.
 SET_BYTES = 8_000_000
 # Share of the sketch that must agree for an exact comparison: four deviations below a similarity of 0.8.
