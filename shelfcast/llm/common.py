@@ -213,22 +213,27 @@ def in_blocks(docs: DataFrame, count: int) -> DataFrame:
 
 
 def packed(*arrays: np.ndarray) -> bytes:
+    """The arrays' bytes, compressed; numbers by planes, since their high bytes are alike."""
     import zstandard
 
-    return zstandard.compress(b"".join(np.ascontiguousarray(a).tobytes() for a in arrays), 1)
+    planes = [a.view(np.uint8).reshape(len(a), -1).T if a.ndim == 1 else a for a in map(np.ascontiguousarray, arrays)]
+    return zstandard.compress(b"".join(plane.tobytes() for plane in planes), 1)
 
 
 def unpacked(blob: bytes, *kinds: tuple[type, int]) -> list[np.ndarray]:
     """Arrays of equally many rows, each given by its type and width."""
     import zstandard
 
-    data = zstandard.decompress(blob)
+    data = np.frombuffer(zstandard.decompress(blob), np.uint8)
     rows, out, at = len(data) // sum(np.dtype(k).itemsize * w for k, w in kinds), [], 0
     for kind, width in kinds:
-        size = rows * width * np.dtype(kind).itemsize
-        part = np.frombuffer(data, kind, rows * width, at)
-        out.append(part if width == 1 else part.reshape(rows, width))
-        at += size
+        size = np.dtype(kind).itemsize
+        part = data[at : at + rows * width * size]
+        at += rows * width * size
+        if width == 1:
+            out.append(np.ascontiguousarray(part.reshape(size, rows).T).reshape(-1).view(kind))
+        else:
+            out.append(part.view(kind).reshape(rows, width))
     return out
 
 
