@@ -23,14 +23,12 @@ last. Rows with the same id follow one another in order of their texts. Extra co
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.llm.common import arrow_table, documents, in_blocks, packed, runs, settled, unpacked
+from shelfcast.llm.common import arrow_table, documents, in_blocks, packed, runs, unpacked
 
 LENGTH, GRAM = 100, 51
 # Places at which the gram of a passage can begin, and so the most bytes to the left of an anchor.
@@ -39,7 +37,7 @@ LEFT = PLACES - 1
 WIDTH = LEFT + LENGTH
 KEY_BITS = 48
 # Bytes of text in a block, and documents that splitters are sampled from, at most.
-BLOCK_BYTES, SAMPLE = 8_000_000, 1_000
+BLOCK_BYTES, SAMPLE = 4_000_000, 1_000
 NO_GRAM = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -148,9 +146,11 @@ def repeated_keys(sent: DataFrame) -> DataFrame:
     return sent.groupBy("range").applyInArrow(bits_of, "block int, range int, bits binary")
 
 
-# What a row of suffixes and a row of repeats hold: type and width of each part.
+# What rows of suffixes and of repeats hold: type and width of each part.
 SUFFIX = ((np.int64, 1), (np.uint32, 1), (np.uint32, 1), (np.uint8, 1), (np.uint8, 1), (np.uint8, WIDTH))
 REPEAT = ((np.uint32, 1), (np.uint32, 1), (np.uint64, 1))
+# And what tells where a passage is that is the first of its bucket: digest, id, block, document, place, j.
+FIRST = ((np.uint64, 1), (np.uint64, 1), (np.int64, 1), (np.uint32, 1), (np.uint32, 1), (np.uint32, 1), (np.uint8, 1))
 
 
 def _possible(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -283,14 +283,31 @@ def repeats_in(around: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.nd
     return masks
 
 
-def compared(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(block, rows): packed REPEAT rows; with `frequent` leads also (block, doc, start, doc_id, digest) of firsts."""
+def _repeat_rows(block: np.ndarray, doc: np.ndarray, position: np.ndarray, masks: np.ndarray) -> list[tuple]:
+    """(block, packed REPEAT rows) of each block."""
+    order = np.argsort(block, kind="stable")
+    return [
+        (number, packed(*(a[order[part]] for a in (doc.astype(np.uint32), position.astype(np.uint32), masks))))
+        for number, part in runs(block[order])
+    ]
+
+
+def _passage_digests(around: np.ndarray, j: int) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of the passages that begin j bytes before their anchors."""
+    words = _words(around[:, LEFT - j : LEFT - j + LENGTH])
+    one, two = np.zeros(len(words), np.uint64), np.full(len(words), 7, np.uint64)
+    for column in words.T:
+        one, two = _spread(one + column), _spread((two ^ column) * np.uint64(0xBF58476D1CE4E5B9))
+    return one, two
+
+
+def compared(rows: DataFrame, frequent: np.ndarray, ranges: int) -> DataFrame:
+    """(block, rows): packed REPEAT rows; with `frequent` leads also (range, firsts): packed FIRST rows."""
 
     def found(table):
-        out = []
         keep = table.column("first").to_numpy()
         blocks, blobs = table.column("block").to_numpy(), table.column("rows").to_pylist()
-        out += [(int(blocks[i]), blobs[i], None, None, None, None) for i in np.flatnonzero(~keep)]
+        out = [(int(blocks[i]), blobs[i], None, None) for i in np.flatnonzero(~keep)]
         parts = [unpacked(blobs[i], *SUFFIX) for i in np.flatnonzero(keep)]
         if parts:
             own = np.repeat(blocks[keep], [len(part[0]) for part in parts])
@@ -301,32 +318,45 @@ def compared(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
             )
             masks = repeats_in(around, left, right)
             some = np.flatnonzero(masks)
-            some = some[np.argsort(own[some], kind="stable")]
-            for block, part in runs(own[some]):
-                at = some[part]
-                out.append((block, packed(doc[at], position[at], masks[at]), None, None, None, None))
+            out += [(*row, None, None) for row in _repeat_rows(own[some], doc[some], position[some], masks[some])]
             if len(frequent):
                 leads = np.ascontiguousarray(around[:, LEFT : LEFT + GRAM]).view(f"S{GRAM}").ravel()
-                firsts = _possible(left, right) & ~masks
-                for at in np.flatnonzero(np.isin(leads, frequent) & (firsts > 0)):
-                    for j in range(PLACES):
-                        if int(firsts[at]) >> j & 1:
-                            passage = around[at, LEFT - j : LEFT - j + LENGTH].tobytes()
-                            digest = hashlib.blake2b(passage, digest_size=16).digest()
-                            out.append((int(own[at]), None, int(doc[at]), int(position[at]) - j, int(ids[at]), digest))
-        fields = [("block", pa.int32()), ("rows", pa.binary()), ("doc", pa.int32()), ("start", pa.int32()), ("order", pa.int64()), ("digest", pa.binary())]
+                firsts = np.where(np.isin(leads, frequent), _possible(left, right) & ~masks, np.uint64(0))
+                for j in range(PLACES):
+                    at = np.flatnonzero(firsts >> np.uint64(j) & np.uint64(1))
+                    one, two = _passage_digests(around[at], j)
+                    target = ((one >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+                    order = np.argsort(target, kind="stable")
+                    places = np.full(len(at), j, np.uint8)
+                    columns = [one, two, ids[at], own[at].astype(np.uint32), doc[at], position[at], places]
+                    for number, part in runs(target[order]):
+                        out.append((None, None, number, packed(*(c[order[part]] for c in columns))))
+        fields = [("block", pa.int32()), ("rows", pa.binary()), ("range", pa.int32()), ("firsts", pa.binary())]
         return arrow_table(out, fields)
 
-    schema = "block int, rows binary, doc int, start int, order bigint, digest binary"
-    return rows.groupBy("bucket").applyInArrow(found, schema)
+    return rows.groupBy("bucket").applyInArrow(found, "block int, rows binary, range int, firsts binary")
 
 
 def across_buckets(found: DataFrame) -> DataFrame:
-    """Adds which firsts of frequent leads are not the first of all buckets."""
-    firsts = found.filter("digest IS NOT NULL")
-    least = firsts.groupBy(F.col("digest").alias("_digest")).agg(F.min(F.struct("order", "doc", "start")).alias("_least"))
-    later = firsts.join(least, F.col("digest") == F.col("_digest")).filter(F.struct("order", "doc", "start") > F.col("_least"))
-    return found.filter("rows IS NOT NULL").unionByName(later.drop("_digest", "_least")).select("block", "rows", "doc", "start")
+    """(block, rows): the repeats, with firsts of frequent leads that are not the first of all buckets."""
+
+    def later(table):
+        parts = [unpacked(blob, *FIRST) for blob in table.column("firsts").to_pylist()]
+        one, two, ids, block, doc, position, j = (np.concatenate(part) for part in zip(*parts, strict=True))
+        start = position - j
+        order = np.lexsort((start, doc, ids, two, one))
+        new = np.ones(len(order), bool)
+        new[1:] = (one[order[1:]] != one[order[:-1]]) | (two[order[1:]] != two[order[:-1]])
+        first = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+        # A passage with several anchors may be there several times.
+        again = order[(ids[order] != ids[first]) | (doc[order] != doc[first]) | (start[order] != start[first])]
+        masks = np.uint64(1) << j[again].astype(np.uint64)
+        rows = _repeat_rows(block[again].astype(np.int64), doc[again], position[again], masks)
+        return arrow_table(rows, [("block", pa.int32()), ("rows", pa.binary())])
+
+    firsts = found.filter("firsts IS NOT NULL").select("range", "firsts")
+    repeats = found.filter("rows IS NOT NULL").select("block", "rows")
+    return repeats.unionByName(firsts.groupBy("range").applyInArrow(later, "block int, rows binary"))
 
 
 def removed(blocks: DataFrame, found: DataFrame) -> DataFrame:
@@ -337,15 +367,10 @@ def removed(blocks: DataFrame, found: DataFrame) -> DataFrame:
         size = len(block.data)
         starts = np.zeros(size + 1, np.int32)
         for blob in found.column("rows").to_pylist():
-            if blob is not None:
-                doc, position, masks = unpacked(blob, *REPEAT)
-                at = block.bounds[doc] + position
-                for j in range(PLACES):
-                    starts[at[(masks >> np.uint64(j) & np.uint64(1)) > 0] - j] = 1
-        own = found.column("doc").is_valid().to_numpy(zero_copy_only=False) if found.num_rows else np.zeros(0, bool)
-        if own.any():
-            one = found.filter(pa.array(own))
-            starts[block.bounds[one.column("doc").to_numpy()] + one.column("start").to_numpy()] = 1
+            doc, position, masks = unpacked(blob, *REPEAT)
+            at = block.bounds[doc] + position
+            for j in range(PLACES):
+                starts[at[(masks >> np.uint64(j) & np.uint64(1)) > 0] - j] = 1
         total = np.concatenate([[0], np.cumsum(starts[:size])])
         place = np.arange(1, size + 1)
         gone = total[place] - total[np.maximum(place - LENGTH, 0)] > 0
@@ -368,7 +393,7 @@ def removed(blocks: DataFrame, found: DataFrame) -> DataFrame:
 
     grouped = blocks.groupBy("block").cogroup(found.groupBy("block"))
     return grouped.applyInArrow(
-        lambda texts, found: rows_of(texts, found),
+        rows_of,
         "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary",
     )
 
@@ -399,8 +424,10 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     splitters = sampled_splitters(docs, count)
     frequent = np.unique(splitters[1:][splitters[1:] == splitters[:-1]])
     replies = repeated_keys(sent_keys(blocks, count))
-    found = settled(compared(suffixes(blocks, replies, splitters, count), frequent))
-    return removed(blocks, across_buckets(found))
+    # Dealt out once, as are the texts: all uses of either read the same shuffle.
+    found = compared(suffixes(blocks, replies, splitters, count), frequent, count).repartition("block")
+    found = across_buckets(found) if len(frequent) else found.select("block", "rows")
+    return removed(blocks, found)
 
 
 def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
