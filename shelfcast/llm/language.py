@@ -102,14 +102,12 @@ def learn(docs: DataFrame) -> Classifier | None:
     """Fits on at most SAMPLE whole texts with a known language and a letter."""
     known = docs.filter("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "lang", "text")
     known = known.withColumn("_turn", F.xxhash64("doc_id"))
-    first = Window.partitionBy("lang").orderBy("_turn", "doc_id")
-    chosen = (
-        known.select("doc_id", "lang", "_turn")
-        .withColumn("_at", F.row_number().over(first))
-        .filter(F.col("_at") <= PER_LANGUAGE)
-        .orderBy("_at", "_turn", "doc_id")
-        .limit(SAMPLE)
-    )
+    chosen = known.select("doc_id", "lang", "_turn")
+    # In parts of each language first, so that a frequent one does not meet in one task.
+    for keys in (["lang", F.pmod("_turn", F.lit(64))], ["lang"]):
+        first = Window.partitionBy(*keys).orderBy("_turn", "doc_id")
+        chosen = chosen.withColumn("_at", F.row_number().over(first)).filter(F.col("_at") <= PER_LANGUAGE)
+    chosen = chosen.orderBy("_at", "_turn", "doc_id").limit(SAMPLE)
     texts = known.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")
 
     def rows_of(batches):
