@@ -15,6 +15,7 @@ An empty table gives an empty result; extra columns are left out.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -26,13 +27,16 @@ from shelfcast.llm.common import components, in_groups, settled, tiled
 SAMPLE = 32_768
 # Most lists; codewords of a subspace; components in a subspace; rounds of fitting.
 LISTS, CODEWORDS, WIDTH, ROUNDS = 4096, 64, 8, 8
-# Rows of a list that are compared in one tile.
-CHUNK = 4096
+# Rows of a list that are compared in one tile; rows that are placed at once.
+CHUNK, SLICE = 4096, 256
 SLACK = 1e-6
 
 
 def _nearest(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    return np.argmin((centres**2).sum(1) - 2 * points @ centres.T, 1)
+    norms, out = (centres**2).sum(1), np.empty(len(points), np.int64)
+    for at in range(0, len(points), SLICE):
+        out[at : at + SLICE] = np.argmin(norms - 2 * points[at : at + SLICE] @ centres.T, 1)
+    return out
 
 
 def _fitted(points: np.ndarray, count: int, seed: int) -> np.ndarray:
@@ -72,14 +76,28 @@ class Index:
         coded = np.stack([self.books[m][codes[:, m]] for m in range(len(self.books))], 1)
         return codes.astype(np.uint8), np.sqrt(((rest - coded) ** 2).sum((1, 2)))
 
+    @cached_property
+    def apart(self) -> np.ndarray:
+        """Distances between centres: once per task, and one centre at a time."""
+        out = np.empty((len(self.centres), len(self.centres)))
+        for row, centre in enumerate(self.centres):
+            difference = self.centres - centre
+            out[row] = np.sqrt(np.einsum("ij,ij->i", difference, difference))
+        return out
+
     def probes(self, units: np.ndarray, lists: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, list) of the lists with lower numbers whose border is within the radius."""
-        far = ((self.centres**2).sum(1) - 2 * units @ self.centres.T) + 1
-        own = far[np.arange(len(units)), lists]
-        apart = np.sqrt(np.maximum(0, ((self.centres[:, None] - self.centres[None]) ** 2).sum(2)))
-        border = far - own[:, None] <= 2 * (self.radius + SLACK) * apart[lists]
-        border &= np.arange(len(self.centres))[None] < lists[:, None]
-        return np.nonzero(border)
+        norms, rows, probed = (self.centres**2).sum(1) + 1, [], []
+        for at in range(0, len(units), SLICE):
+            own = lists[at : at + SLICE]
+            far = norms - 2 * units[at : at + SLICE] @ self.centres.T
+            far -= far[np.arange(len(own)), own][:, None]
+            border = far <= 2 * (self.radius + SLACK) * self.apart[own]
+            border &= np.arange(len(self.centres))[None] < own[:, None]
+            found = np.nonzero(border)
+            rows.append(found[0] + at)
+            probed.append(found[1])
+        return (np.concatenate(rows), np.concatenate(probed)) if rows else (np.empty(0, np.int64),) * 2
 
     def distances(self, units: np.ndarray, at: int, codes: np.ndarray) -> np.ndarray:
         """Squared distances from vectors to the codes of a list's members, summed from tables."""
@@ -111,30 +129,31 @@ def placed(reps: DataFrame, index: Index) -> DataFrame:
     """Every class in its own list, with its code, and as a query in the lists it probes."""
 
     def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
             columns = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
             units = index.unit(columns["embedding"].to_pylist())
             lists = _nearest(units, index.centres)
             codes, errors = index.codes(units, lists)
             rows, probed = index.probes(units, lists)
-            at = np.concatenate([np.arange(len(units)), rows])
-            own = np.arange(len(at)) < len(units)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    columns["label"].take(pa.array(at)),
-                    columns["size"].take(pa.array(at)),
-                    pa.array(np.concatenate([lists, probed]).astype(np.int32)),
-                    columns["rep"].take(pa.array(at)),
-                    columns["copies"].take(pa.array(at)),
-                    pa.array(own),
-                    pa.array([units[i].tobytes() for i in at]),
-                    pa.array([codes[i].tobytes() for i in at]),
-                    pa.array(errors[at]),
-                ],
-                ["label", "size", "list", "rep", "copies", "own", "unit", "code", "error"],
-            )
+            everywhere = np.concatenate([np.arange(len(units)), rows])
+            places = np.concatenate([lists, probed]).astype(np.int32)
+            for start in range(0, len(everywhere), CHUNK):
+                at = everywhere[start : start + CHUNK]
+                own = np.arange(start, start + len(at)) < len(units)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        columns["label"].take(pa.array(at)),
+                        columns["size"].take(pa.array(at)),
+                        pa.array(places[start : start + CHUNK]),
+                        columns["rep"].take(pa.array(at)),
+                        columns["copies"].take(pa.array(at)),
+                        pa.array(own),
+                        pa.array([units[i].tobytes() for i in at]),
+                        pa.array([codes[i].tobytes() for i in at]),
+                        pa.array(errors[at]),
+                    ],
+                    ["label", "size", "list", "rep", "copies", "own", "unit", "code", "error"],
+                )
 
     return reps.select("rep", "copies", "label", "size", "embedding").mapInArrow(
         run,

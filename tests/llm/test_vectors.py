@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 
@@ -77,3 +79,17 @@ def test_probes_reach_every_list_within_the_radius():
     near = points[:, None] - points[None]
     for a, b in np.argwhere(np.linalg.norm(near, axis=2) <= 0.2):
         assert lists[a] == lists[b] or (a, lists[b]) in probed or (b, lists[a]) in probed
+
+
+def test_memory_of_probes_does_not_grow_with_lists_times_lists_times_components():
+    rng = np.random.default_rng(2)
+    points = rng.normal(size=(3000, 64))
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    index = vectors.Index(64, 0.2, points[:700], np.zeros((8, 1, 8)))
+    tracemalloc.start()
+    lists = vectors._nearest(points, index.centres)
+    index.probes(points, lists)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # 700 x 700 distances are 4 MB, and 700 x 700 x 64 differences 251 MB.
+    assert peak < 16_000_000
