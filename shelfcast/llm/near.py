@@ -27,8 +27,8 @@ VALUES, TREES, LEVELS = 64, 12, 6
 NODE, CHUNK = 2_000, 20_000
 # Bytes of the full sets in a chunk of a class of candidates.
 SET_BYTES = 8_000_000
-# Share of the sketch that must agree for an exact comparison: four deviations below a similarity of 0.8.
-LIKE = 0.6
+# Share of the sketch that must agree for an exact comparison: six deviations below a similarity of 0.8.
+LIKE = 0.5
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

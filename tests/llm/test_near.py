@@ -85,3 +85,12 @@ def test_forest_connects_what_all_pairs_connect():
     links = forest(60, lambda row, others: alike[row, others])
     assert smallest_reachable(range(60), links) == smallest_reachable(range(60), np.argwhere(alike).tolist())
     assert len(links) < 60
+
+
+def test_similar_sets_whose_sketches_agree_little_are_linked(docs):
+    # 32 of 40 shingles are shared, but fewer than 39 of the 64 values of the sketches.
+    shared = " ".join(f"11590w{k}" for k in range(32))
+    texts = [" ".join([shared, *(f"11590{own}{k}" for k in range(4))]) for own in "ab"]
+    sketches = [near.minwise(near.shingles(text, 1)) for text in texts]
+    assert (sketches[0] == sketches[1]).sum() < 39
+    assert [r.component_id for r in near.near_duplicates(docs(*texts), 1).collect()] == [0, 0]
