@@ -16,6 +16,8 @@ are left out by `near_duplicates` and kept by `without_copies`.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -27,8 +29,8 @@ VALUES, TREES, LEVELS = 64, 12, 6
 NODE, CHUNK = 2_000, 20_000
 # Bytes of the full sets in a chunk of a class of candidates.
 SET_BYTES = 8_000_000
-# Share of the sketch that must agree for an exact comparison: six deviations below a similarity of 0.8.
-LIKE = 0.5
+# Share of similar pairs that an exact comparison may miss because too few values of their sketches agree.
+MISSED = 2e-8
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -43,6 +45,31 @@ def mixed(x: np.ndarray) -> np.ndarray:
 FACTORS = mixed(np.arange(1, VALUES + 1, dtype=np.uint64)) | np.uint64(1)
 
 
+def least_alike(top: int) -> float:
+    """Share of the sketch that agrees in all but MISSED of the pairs with a similarity of top percent (0.5 for 80)."""
+    p, missed = top / 100, 0.0
+    for n in range(VALUES):
+        missed += math.comb(VALUES, n) * p**n * (1 - p) ** (VALUES - n)
+        if missed > MISSED:
+            return n / VALUES
+    return 1.0
+
+
+def trees_for(top: int) -> int:
+    """Trees that miss no more of the pairs with a similarity of top percent than TREES do at 80 percent."""
+
+    def missed(p):
+        out = 0.0
+        for _ in range(LEVELS):
+            one = 1 - p * (1 - out)
+            out = 0.75 * one + 0.25 * one**2
+        return out
+
+    if top >= 80:
+        return TREES
+    return math.ceil(TREES * math.log(missed(0.8)) / math.log(missed(top / 100)))
+
+
 def shingles(text: str | None, size: int) -> np.ndarray:
     """Sorted hashes of the distinct shingles of the whole text."""
     import xxhash
@@ -99,8 +126,8 @@ def classes(docs: DataFrame, size: int) -> DataFrame:
     return per_text(docs, ["doc_id", "text"], rows_of, schema)
 
 
-def _branched(rows: DataFrame, roots: bool) -> DataFrame:
-    """(node, rep) one level further down, from the roots of all trees or from the given nodes."""
+def _branched(rows: DataFrame, trees: int = 0) -> DataFrame:
+    """(node, rep) one level further down, from the roots of so many trees or from the given nodes."""
 
     def run(batches):
         for batch in batches:
@@ -109,8 +136,8 @@ def _branched(rows: DataFrame, roots: bool) -> DataFrame:
             table = pa.Table.from_batches([batch])
             values = blobs(table, "minwise", np.uint32, VALUES)
             reps = table.column("rep").to_numpy()
-            if roots:
-                starts = [np.full(len(reps), tree, np.uint64) for tree in mixed(np.arange(1, TREES + 1, dtype=np.uint64))]
+            if trees:
+                starts = (np.full(len(reps), tree, np.uint64) for tree in mixed(np.arange(1, trees + 1, dtype=np.uint64)))
             else:
                 starts = [table.column("node").to_numpy().view(np.uint64)]
             for start in starts:
@@ -120,9 +147,9 @@ def _branched(rows: DataFrame, roots: bool) -> DataFrame:
     return rows.mapInArrow(run, "node bigint, rep bigint")
 
 
-def leaves(reps: DataFrame) -> DataFrame:
+def leaves(reps: DataFrame, trees: int) -> DataFrame:
     """(node, rep, n) of all nodes with several classes that do not branch on."""
-    rows, out = _branched(reps.select("rep", "minwise"), True), None
+    rows, out = _branched(reps.select("rep", "minwise"), trees), None
     for level in range(1, LEVELS + 1):
         sizes = rows.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1")
         rows = settled(rows.join(sizes, "node"))
@@ -131,14 +158,15 @@ def leaves(reps: DataFrame) -> DataFrame:
         large = rows.filter(F.col("n") > NODE).select("node", "rep")
         if level == LEVELS or large.isEmpty():
             break
-        rows = _branched(large.join(reps.select("rep", "minwise"), "rep"), False)
+        rows = _branched(large.join(reps.select("rep", "minwise"), "rep"))
     return out
 
 
-def candidates(reps: DataFrame) -> DataFrame:
+def candidates(reps: DataFrame, top: int) -> DataFrame:
     """Links (a, b) that connect all classes whose sketches agree inside a node."""
+    least = least_alike(top)
     sketch = reps.select("rep", F.col("n_shingles").alias("size"), "minwise")
-    rows = leaves(reps).join(_short(sketch), "rep")
+    rows = leaves(reps, trees_for(top)).join(_short(sketch), "rep")
     rows = tiled(rows, F.ceil(F.col("n") / CHUNK), "rep").drop("n")
 
     def rows_of(table, begins):
@@ -151,16 +179,16 @@ def candidates(reps: DataFrame) -> DataFrame:
         small = np.repeat(lengths <= 16, lengths)
         for step in range(1, int(min(lengths.max(), 16))):
             at = np.flatnonzero((group[step:] == group[:-step]) & small[step:])
-            at = at[_near_sizes(sizes[at], sizes[at + step])]
-            at = at[(bits[at] == bits[at + step]).mean(1) >= LIKE]
+            at = at[_near_sizes(sizes[at], sizes[at + step], top)]
+            at = at[(bits[at] == bits[at + step]).mean(1) >= least]
             a.append(ids[at])
             b.append(ids[at + step])
         for start, length in zip(begins[:-1][lengths > 16], lengths[lengths > 16], strict=True):
             part, size = bits[start : start + length], sizes[start : start + length]
 
             def like(row, others, part=part, size=size):
-                out = _near_sizes(size[row], size[others])
-                out[out] = (part[others[out]] == part[row]).mean(1) >= LIKE
+                out = _near_sizes(size[row], size[others], top)
+                out[out] = (part[others[out]] == part[row]).mean(1) >= least
                 return out
 
             pairs = np.array(forest(length, like), np.int64).reshape(-1, 2) + start
@@ -185,7 +213,7 @@ def _short(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "rep bigint, size bigint, sketch binary")
 
 
-def _near_sizes(a, b, top: int = 80):
+def _near_sizes(a, b, top: int):
     """Sets of these sizes can have a similarity of top percent."""
     return 100 * np.minimum(a, b) >= top * np.maximum(a, b)
 
@@ -243,7 +271,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, top: int = 80) -> DataFra
     full = found.filter("digest IS NOT NULL AND doc_id IS NOT NULL")
     reps = full.groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "minwise")).alias("first"))
     reps = settled(reps.select("digest", F.col("first.doc_id").alias("rep"), "first.n_shingles", "first.minwise"))
-    groups = components(candidates(reps))
+    groups = components(candidates(reps, top))
     sizes = reps.select(F.col("rep").alias("id"), "n_shingles").join(groups, "id").groupBy("component_id")
     sizes = sizes.agg(F.ceil(F.sum("n_shingles") * 8 / SET_BYTES).cast("int").alias("chunks"))
     linked = components(exact_links(docs, groups.join(sizes, "component_id"), shingle, top))

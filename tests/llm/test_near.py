@@ -94,3 +94,19 @@ def test_similar_sets_whose_sketches_agree_little_are_linked(docs):
     sketches = [near.minwise(near.shingles(text, 1)) for text in texts]
     assert (sketches[0] == sketches[1]).sum() < 39
     assert [r.component_id for r in near.near_duplicates(docs(*texts), 1).collect()] == [0, 0]
+
+
+def test_less_similar_sets_are_linked_where_less_is_asked(docs):
+    rng = np.random.default_rng(8)
+    texts = []
+    for i in range(60):  # subsets of two thirds of the words, and sets of equal size
+        words = [f"{i}w{k}" for k in range(60)]
+        texts += [" ".join(words), " ".join(rng.permutation(words)[:40])] if i % 2 else [" ".join(words[:48]), " ".join(words[12:])]
+    for top in (60, 80):
+        got = near.near_duplicates(docs(*texts), 1, top).collect()
+        assert {r.doc_id: r.component_id for r in got} == {i: i - i % 2 if top == 60 else i for i in range(120)}
+
+
+def test_trees_and_sketches_follow_the_similarity():
+    assert (near.least_alike(80), near.trees_for(80), near.trees_for(95)) == (0.5, 12, 12)
+    assert near.least_alike(60) < 0.3 and near.trees_for(60) > 40 and near.least_alike(100) == 1
