@@ -17,6 +17,7 @@ from shelfcast.llm.secrets import op2_secret_scan
 from shelfcast.llm.sharding import op10_sharding
 from shelfcast.llm.sql import oracle_sql
 from shelfcast.llm.tokenfiles import op13_token_files
+from shelfcast.llm.trie import op11_prefix_trie
 from shelfcast.llm.vectors import op1_near_vectors
 from shelfcast.llm.whitening import op12_whitening
 
@@ -35,6 +36,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_language_id": op9_language_id,
         "op10_sharding": op10_sharding,
+        "op11_prefix_trie": op11_prefix_trie,
         "op12_whitening": op12_whitening,
         "op13_token_files": op13_token_files,
     }

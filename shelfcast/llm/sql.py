@@ -155,6 +155,48 @@ NEAR = f"""
     FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN smallest ON smallest.a = doc_id"""
 
 
+# A checksum of a list of bytes: each byte, then eight shifts (marked -1).
+def _crc32(text: str) -> str:
+    steps = f"flatten(list_transform(range(1, length({text}) + 1), lambda i: [ascii({text}[i])::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    step = "CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {steps}), lambda c, x: {step}), 4294967295)"
+
+
+TRIE = f"""
+    WITH given AS (
+        SELECT conv_id, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+               strlen(coalesce(text, '')) AS n_bytes, turn
+        FROM conversations WHERE conv_id IS NOT NULL),
+    turns AS (
+        SELECT conv_id, k, n_bytes, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) AS i FROM given),
+    heads AS (
+        SELECT conv_id, conv_id - conv_id % 5 AS base, {_crc32("CAST(conv_id AS VARCHAR)")} % 9 AS h
+        FROM (SELECT DISTINCT conv_id FROM given)),
+    joined AS (
+        SELECT c.conv_id, 0 AS part, t.i, t.k, t.n_bytes FROM heads c JOIN turns t ON t.conv_id = c.base AND t.i <= c.h
+        UNION ALL
+        SELECT c.conv_id, 1, t.i, t.k, t.n_bytes FROM heads c JOIN turns t ON t.conv_id = c.conv_id AND t.i > c.h),
+    paths AS (
+        SELECT conv_id, row_number() OVER w AS depth, n_bytes, string_agg(k, '') OVER w AS path
+        FROM joined WINDOW w AS (PARTITION BY conv_id ORDER BY part, i ROWS UNBOUNDED PRECEDING)),
+    members AS (
+        SELECT conv_id, depth, n_bytes, path, CASE WHEN depth = 1 THEN '' ELSE left(path, length(path) - 64) END AS parent FROM paths
+        UNION ALL SELECT conv_id, 0, 0, '', NULL FROM heads),
+    lengths AS (SELECT conv_id, max(depth) AS last FROM members GROUP BY conv_id),
+    nodes AS (
+        SELECT path, any_value(parent) AS parent, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+               any_value(n_bytes) AS n_bytes, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = last), '')) AS ends
+        FROM members JOIN lengths USING (conv_id) GROUP BY path),
+    families AS (SELECT parent, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+    below AS (
+        SELECT m.path, sum((u.n_convs - 1) * u.n_bytes) AS saved, count(*) FILTER (f.n IS NULL) AS leaves
+        FROM nodes u JOIN members m ON m.conv_id = u.conv_id AND m.depth <= u.depth LEFT JOIN families f ON f.parent = u.path
+        GROUP BY m.path)
+    SELECT v.conv_id, v.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, v.n_convs, coalesce(f.n, 0) AS n_children,
+           b.leaves AS n_leaves, b.saved::BIGINT AS saved_tokens, v.ends AS ends_sha256
+    FROM nodes v LEFT JOIN nodes p ON p.path = v.parent LEFT JOIN families f ON f.parent = v.path JOIN below b ON b.path = v.path"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_near_vectors": VECTORS,
@@ -162,4 +204,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_backoff_scores": BACKOFF,
         "op6_mixing": MIXING,
         "op7_minhash": NEAR,
+        "op11_prefix_trie": TRIE,
     }
