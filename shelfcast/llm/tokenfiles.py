@@ -17,6 +17,7 @@ gives a manifest without parts or with empty ones, and no rows. Extra columns ar
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import sys
@@ -36,8 +37,8 @@ from shelfcast.llm.common import documents, shared_folder
 END_ID = 2
 # Texts are cut at blanks after so many characters while they are encoded; documents that are read at once.
 CUT, READ = 1 << 20, 4096
-# Chunks and words that a task keeps the ids of, at most, and the longest kept one: bounds memory, not results.
-KEPT, KEPT_CHARS = 400_000, 64
+# Chunks and words that a worker keeps the ids of, at most, and the longest kept one: bounds memory, not results.
+KEPT, KEPT_CHARS = 700_000, 64
 
 # The steps of a tokenizer file under which chunks between blanks are encoded alone.
 NORMALIZERS = ["NFC", "Replace", "Lowercase"]
@@ -120,6 +121,16 @@ class Encoder:
             at = end
 
 
+def _encoder(blob: bytes, kind: str) -> Encoder:
+    """The encoder of this process: tasks that follow each other in a worker go on with what it keeps."""
+    held = vars(sys).setdefault("_token_file_encoders", {})
+    key = hashlib.sha256(blob).digest(), kind
+    if key not in held:
+        held.clear()
+        held[key] = Encoder(blob, kind)
+    return held[key]
+
+
 def _known_steps(spec: dict) -> bool:
     normalizer, before, model = (spec.get(part) or {} for part in ("normalizer", "pre_tokenizer", "model"))
     steps = normalizer.get("normalizers") or []
@@ -165,7 +176,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
     def write(batches):
         system, path = _opened(folder)
         name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
-        encoder = Encoder(blob, kind)
+        encoder = _encoder(blob, kind)
         end = encoder._bytes([end_id])
         width, tokens, count, nulls = len(end), 0, 0, 0
         with (
