@@ -10,8 +10,9 @@ Classes that sketches put together are then compared on their full sets, exactly
 are many. Only links that connect are passed on, never all pairs of a group.
 
 A null text has an empty set; empty sets are linked with nothing. Texts of fewer words than a shingle
-have their whole sequence as the one shingle. Documents that repeat are of one class. Extra columns
-are left out by `near_duplicates` and kept by `without_copies`.
+have their whole sequence as the one shingle. Documents that repeat are of one class. Rows without an
+id are documents too; a group of such rows alone has no component_id. Extra columns are left out by
+`near_duplicates` and kept by `without_copies`.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ from shelfcast.llm.common import blobs, components, documents, forest, in_groups
 VALUES, TREES, LEVELS = 64, 12, 6
 # Rows of a node that is compared rather than branched, and of a chunk of one that cannot branch.
 NODE, CHUNK = 2_000, 20_000
-# Bytes of the full sets in a chunk of a class of candidates.
-SET_BYTES = 8_000_000
+# Bytes of the full sets, and sets, in a chunk of a class of candidates.
+SET_BYTES, MEMBERS = 8_000_000, 20_000
 # Share of similar pairs that an exact comparison may miss because too few values of their sketches agree.
 MISSED = 2e-8
 
@@ -108,13 +109,13 @@ def children(nodes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def classes(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, and the digest and minwise values of each set (null where it is empty)."""
+    """doc_id, a mark of the text, n_shingles, and the digest and minwise values of each set (null where it is empty)."""
 
     def rows_of(batches):
         import hashlib
 
         for batch in batches:
-            out = {"doc_id": batch["doc_id"], "n_shingles": [], "digest": [], "minwise": []}
+            out = {"doc_id": batch["doc_id"], "mark": batch["mark"], "n_shingles": [], "digest": [], "minwise": []}
             for text in batch["text"]:
                 found = shingles(text, size)
                 out["n_shingles"].append(len(found))
@@ -122,8 +123,9 @@ def classes(docs: DataFrame, size: int) -> DataFrame:
                 out["minwise"].append(minwise(found).tobytes() if len(found) else None)
             yield out
 
-    schema = "doc_id bigint, n_shingles bigint, digest binary, minwise binary"
-    return per_text(docs, ["doc_id", "text"], rows_of, schema)
+    schema = "doc_id bigint, mark bigint, n_shingles bigint, digest binary, minwise binary"
+    marked = docs.select("doc_id", "text", F.xxhash64("text").alias("mark"))
+    return per_text(marked, ["doc_id", "text", "mark"], rows_of, schema)
 
 
 def _branched(rows: DataFrame, trees: int = 0) -> DataFrame:
@@ -218,14 +220,19 @@ def _near_sizes(a, b, top: int):
     return 100 * np.minimum(a, b) >= top * np.maximum(a, b)
 
 
-def exact_links(docs: DataFrame, groups: DataFrame, shingle: int, top: int) -> DataFrame:
-    """Links (a, b) that connect all classes of a group whose full sets are similar enough."""
+def exact_links(docs: DataFrame, members: DataFrame, shingle: int, top: int) -> DataFrame:
+    """Links (a, b) that connect all classes of a group whose full sets are similar enough.
+
+    `members` has the class as id, the document that stands for it, and its group with a number of chunks.
+    """
 
     def sets(batches):
         for batch in batches:
             yield batch | {"found": [shingles(text, shingle).tobytes() for text in batch["text"]]}
 
-    texts = docs.select(F.col("doc_id").alias("id"), "text").join(groups, "id")
+    of = members.select("id", F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "component_id", "chunks")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).join(of, same)
     rows = per_text(
         texts.select("id", "component_id", "chunks", "text"),
         ["id", "component_id", "chunks", "text"],
@@ -247,45 +254,124 @@ def exact_links(docs: DataFrame, groups: DataFrame, shingle: int, top: int) -> D
 
 
 def similar(sets: list[np.ndarray], top: int) -> list[tuple[int, int]]:
-    """Links that connect sets with 100 * intersection >= top * union."""
+    """Links that connect sets with 100 * intersection >= top * union, as all such pairs would.
+
+    Similar sets share one of the rarest (100 - top) percent and one more of their shingles, whichever of
+    the two is asked. An index of these shingles gives the partners of a set; only those of near size whose
+    intersection is counted are compared. Sets already reached are not looked at again, and the index
+    is made anew from the others whenever half of them are reached.
+    """
     sizes = np.array([len(own) for own in sets])
     starts = np.concatenate([[0], np.cumsum(sizes)])
-    known, flat = np.unique(np.concatenate(sets), return_inverse=True)
-
-    def like(row, others):
-        out = _near_sizes(sizes[row], sizes[others], top)
-        picked = others[out]
-        if len(picked):
-            marks = np.zeros(len(known), np.int64)
-            marks[flat[starts[row] : starts[row + 1]]] = 1
-            shared = np.array([marks[flat[starts[o] : starts[o + 1]]].sum() for o in picked])
-            out[out] = 100 * shared >= top * (sizes[row] + sizes[picked] - shared)
-        return out
+    _, flat, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    # Shingles numbered from the rarest on; each set in that order.
+    rank = np.empty(len(often), np.int64)
+    rank[np.argsort(often, kind="stable")] = np.arange(len(often))
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    flat = rank[flat]
+    flat = flat[np.lexsort((flat, owner))]
+    # Shared shingles are at least top percent of either set.
+    fronts = sizes - -(-top * sizes // 100) + 1
+    leads = flat[_ranges(starts[:-1], fronts)]
+    lead_owner = np.repeat(np.arange(len(sets)), fronts)
+    order = np.argsort(leads, kind="stable")
+    leads, lead_owner = leads[order], lead_owner[order]
+    begins = np.searchsorted(leads, np.arange(len(often) + 1))
+
+    marks, left = np.zeros(len(often), bool), np.ones(len(sets), bool)
+    n_left = indexed = len(sets)
+    out = []
+    for start in range(len(sets)):
+        if not left[start]:
+            continue
+        left[start], n_left, reached = False, n_left - 1, [start]
+        while reached and n_left:
+            if n_left * 2 < indexed:
+                keep = left[lead_owner]
+                leads, lead_owner, indexed = leads[keep], lead_owner[keep], n_left
+                begins = np.searchsorted(leads, np.arange(len(often) + 1))
+            row = reached.pop()
+            own = flat[starts[row] : starts[row + 1]]
+            front = own[: fronts[row]]
+            found = lead_owner[_ranges(begins[front], begins[front + 1] - begins[front])]
+            found = np.unique(found[left[found]])
+            found = found[_near_sizes(sizes[row], sizes[found], top)]
+            if not len(found):
+                continue
+            marks[own] = True
+            cuts = np.concatenate([[0], np.cumsum(sizes[found])[:-1]])
+            shared = np.add.reduceat(marks[flat[_ranges(starts[found], sizes[found])]].astype(np.int64), cuts)
+            marks[own] = False
+            new = found[100 * shared >= top * (sizes[row] + sizes[found] - shared)]
+            left[new], n_left = False, n_left - len(new)
+            out += [(row, int(other)) for other in new]
+            reached += new.tolist()
+    return out
 
-    return forest(len(sets), like)
 
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one range after another."""
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.arange(total) + np.repeat(starts - ends + lengths, lengths)
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, top: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable by links) and kept."""
+
+def _labelled(docs: DataFrame, shingle: int, top: int) -> DataFrame:
+    """doc_id, mark of the text, n_shingles, digest, class (null for an empty set) and component_id.
+
+    Classes are numbered, so that rows that share an id, or have none, are told apart.
+    """
     found = settled(classes(docs, shingle))
-    full = found.filter("digest IS NOT NULL AND doc_id IS NOT NULL")
-    reps = full.groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "minwise")).alias("first"))
-    reps = settled(reps.select("digest", F.col("first.doc_id").alias("rep"), "first.n_shingles", "first.minwise"))
+    first = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "mark", "n_shingles", "minwise")
+    reps = found.filter("digest IS NOT NULL").groupBy("digest").agg(F.min(first).alias("first"))
+    reps = settled(reps.select("digest", *(f"first.{name}" for name in ("doc_id", "mark", "n_shingles", "minwise"))))
+    # Numbers of the written rows, which are the same whenever they are read.
+    reps = reps.withColumn("rep", F.monotonically_increasing_id())
     groups = components(candidates(reps, top))
-    sizes = reps.select(F.col("rep").alias("id"), "n_shingles").join(groups, "id").groupBy("component_id")
-    sizes = sizes.agg(F.ceil(F.sum("n_shingles") * 8 / SET_BYTES).cast("int").alias("chunks"))
-    linked = components(exact_links(docs, groups.join(sizes, "component_id"), shingle, top))
-    named = reps.select("digest", "rep").join(linked.withColumnRenamed("id", "rep"), "rep", "left")
-    named = named.select("digest", F.coalesce("component_id", "rep").alias("component_id"))
-    out = found.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
+    members = reps.select(F.col("rep").alias("id"), "doc_id", "mark", "n_shingles").join(groups, "id")
+    chunks = F.ceil(F.greatest(F.sum("n_shingles") * 8 / SET_BYTES, F.count("*") / MEMBERS)).cast("int")
+    members = members.join(members.groupBy("component_id").agg(chunks.alias("chunks")), "component_id")
+    linked = components(exact_links(docs, members, shingle, top))
+    ids = linked.join(reps.select(F.col("rep").alias("id"), "doc_id"), "id")
+    heads = linked.join(ids.groupBy("component_id").agg(F.min("doc_id").alias("head")), "component_id")
+    heads = heads.select(F.col("id").alias("rep"), F.col("component_id").alias("class"), "head")
+    named = reps.select("digest", "rep", F.col("doc_id").alias("own")).join(heads, "rep", "left")
+    named = named.select("digest", F.coalesce("class", "rep").alias("class"), F.coalesce("head", "own").alias("component_id"))
+    return found.select("doc_id", "mark", "n_shingles", "digest").join(named, "digest", "left")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, top: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable by links) and kept."""
     component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
+    return _labelled(docs, shingle, top).select(
+        "doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept")
+    )
 
 
 def without_copies(docs: DataFrame, shingle: int = 5, top: int = 80) -> DataFrame:
-    """The documents with one of each component, the one with the smallest id."""
-    dropped = near_duplicates(docs, shingle, top).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """The documents with one row of each component, one with the smallest id; a null id comes after all others.
+
+    Rows are told apart by their id and their text, so copies that share an id, or have none, go too. Rows
+    without a word are linked with nothing and all stay.
+    """
+    rows = _labelled(docs, shingle, top).filter("digest IS NOT NULL")
+    keys = settled(rows.groupBy(F.col("class").alias("group"), "doc_id", "mark").agg(F.count("*").alias("n")))
+    order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "mark")
+    first = keys.groupBy("group").agg(F.min(order).alias("first")).select("group", "first.doc_id", "first.mark")
+    kept = keys.join(
+        first.select(F.col("group").alias("_group"), F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")),
+        (F.col("group") == F.col("_group")) & F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")),
+        "left",
+    )
+    kept = settled(kept.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "n", F.col("_group").isNotNull().alias("first")))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_mark"))
+    out = docs.join(kept.filter("NOT first OR n > 1"), same, "left_anti").select(*docs.columns)
+    several = kept.filter("first AND n > 1")
+    if several.isEmpty():
+        return out
+    # One of the rows that are equal in id and text.
+    again = docs.join(several, same).dropDuplicates(["_id", "_mark"])
+    return out.unionByName(again.select(*docs.columns))
 
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 
@@ -65,6 +67,53 @@ def test_rows_without_an_id_or_with_the_same_one(docs):
     assert sorted((r.doc_id is None, r.component_id, r.kept) for r in got) == [(False, 4, True), (False, 4, True), (True, 4, False)]
 
 
+def test_one_row_of_equal_ids_and_of_null_ids_stays(docs):
+    ids = [4, 4, None, 7, 7, 2, None, None, None, None, 9]
+    texts = ["a b c", "a b c", "a b c", "x y z", "q r s", "a b c d", "n n n", "n n n", "", None, ""]
+    kept = near.without_copies(docs(*texts, ids=ids), 2).collect()
+    assert sorted((row.doc_id or -1, row.text or "") for row in kept) == [
+        (-1, ""), (-1, ""), (-1, "n n n"), (2, "a b c d"), (4, "a b c"), (7, "q r s"), (7, "x y z"), (9, "")
+    ]
+
+
+@pytest.mark.parametrize("top", [50, 80, 95, 100])
+def test_similar_connects_what_all_pairs_connect(top):
+    rng = np.random.default_rng(top)
+    base = [rng.choice(400, rng.integers(1, 60), replace=False).astype(np.uint64) for _ in range(25)]
+    sets = list(base)
+    for own in base * 6:  # with some exchanged, and some left out
+        changed = np.where(rng.random(len(own)) < 0.15, rng.integers(0, 400, len(own)).astype(np.uint64), own)
+        sets.append(np.unique(changed[rng.random(len(own)) < 0.95]) if len(own) > 3 else own)
+    sets = [np.unique(own) for own in sets if len(own)]
+    pairs = [
+        (i, j)
+        for i, a in enumerate(sets)
+        for j in range(i)
+        if 100 * len(np.intersect1d(a, sets[j])) >= top * len(np.union1d(a, sets[j]))
+    ]
+    links = near.similar(sets, top)
+    assert set(map(tuple, map(sorted, links))) <= set(map(tuple, map(sorted, pairs)))
+    assert len(links) < len(sets)
+    assert smallest_reachable(range(len(sets)), links) == smallest_reachable(range(len(sets)), pairs)
+
+
+def test_ten_thousand_unlike_sets_take_seconds():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 1 << 40, 200).astype(np.uint64)) for _ in range(10_000)]
+    started = time.process_time()
+    assert near.similar(sets, 80) == []
+    assert near.similar([np.append(own, np.uint64(1 << 41)) for own in sets[:5000]], 80) == []
+    assert time.process_time() - started < 30
+
+
+def test_near_copies_without_an_id_are_linked(docs):
+    long = " ".join(f"w{i}" for i in range(60))
+    got = near.near_duplicates(docs(long, long + " x", long + " y", "p q r", "p q r", ids=[None, 8, None, None, 8]), 2).collect()
+    assert sorted((row.doc_id or -1, row.n_shingles, row.component_id, row.kept) for row in got) == [
+        (-1, 2, 8, False), (-1, 59, 8, False), (-1, 60, 8, False), (8, 2, 8, True), (8, 60, 8, True)
+    ]
+
+
 def test_empty_table(docs):
     assert near.near_duplicates(docs().limit(0)).collect() == []
     assert near.without_copies(docs().limit(0)).collect() == []
