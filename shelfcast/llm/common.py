@@ -38,6 +38,15 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def removed(df: DataFrame) -> None:
+    """Deletes a table of `stored` that nothing reads any more."""
+    spark = df.sparkSession
+    conf, Path = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        path = Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -80,32 +89,39 @@ def components(links: DataFrame) -> DataFrame:
     the ends in place of the ids in the links. Every tree of pointers becomes one id, so rounds and the
     jumps of each are logarithms of the number of ids, for chains too. The minimum is taken before the
     shuffle; the joins on hot ids are equi-joins that Spark splits.
+
+    Rounds go on from written tables, whose sizes are known. A checkpoint keeps the size that was
+    estimated for it, the product of the sizes that were joined, and in a loop that number gets so
+    many digits that planning never ends.
     """
-    links = settled(links.filter("a <> b").distinct())
+    links = stored(links.filter("a <> b").distinct())
     ids = links.select(F.col("a").alias("id")).union(links.select(F.col("b").alias("id"))).distinct()
-    found = settled(ids.select("id", F.col("id").alias("component_id")))
+    found = stored(ids.select("id", F.col("id").alias("component_id")))
     while not links.isEmpty():
         both = links.union(links.select("b", "a"))
         ends = _ends(both.groupBy("a").agg(F.least("a", F.min("b")).alias("low")))
-        found = found.join(ends, found.component_id == ends.a, "left").select(
+        before, found = found, found.join(ends, found.component_id == ends.a, "left").select(
             "id", F.coalesce("low", "component_id").alias("component_id")
         )
-        found = settled(found)
+        found = stored(found)
         left = ends.select("a", F.col("low").alias("low_a"))
         right = ends.select(F.col("a").alias("b"), F.col("low").alias("low_b"))
-        links = links.join(left, "a").join(right, "b")
+        last, links = links, links.join(left, "a").join(right, "b")
         links = links.select(F.col("low_a").alias("a"), F.col("low_b").alias("b"))
-        links = settled(links.filter("a <> b").distinct())
+        links = stored(links.filter("a <> b").distinct())
+        for table in (before, last, ends):
+            removed(table)
     return found
 
 
 def _ends(pointers: DataFrame) -> DataFrame:
     """(a, low) with every pointer followed to the id that points at itself."""
-    pointers = settled(pointers)
+    pointers = stored(pointers)
     while True:
         further = pointers.select(F.col("a").alias("_at"), F.col("low").alias("_low"))
         jumped = pointers.join(further, F.col("low") == F.col("_at"))
-        jumped = settled(jumped.select("a", F.col("_low").alias("low"), (F.col("low") != F.col("_low")).alias("moved")))
+        jumped = stored(jumped.select("a", F.col("_low").alias("low"), (F.col("low") != F.col("_low")).alias("moved")))
+        removed(pointers)
         pointers = jumped.select("a", "low")
         if jumped.filter("moved").isEmpty():
             return pointers

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.llm.common import blobs, components, documents, forest, in_groups, per_text, settled, tiled
+from shelfcast.llm.common import blobs, components, documents, forest, in_groups, per_text, stored, tiled
 
 VALUES, TREES, LEVELS = 64, 12, 6
 # Rows of a node that is compared rather than branched, and of a chunk of one that cannot branch.
@@ -154,7 +154,7 @@ def leaves(reps: DataFrame, trees: int) -> DataFrame:
     rows, out = _branched(reps.select("rep", "minwise"), trees), None
     for level in range(1, LEVELS + 1):
         sizes = rows.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1")
-        rows = settled(rows.join(sizes, "node"))
+        rows = stored(rows.join(sizes, "node"))
         done = rows if level == LEVELS else rows.filter(F.col("n") <= NODE)
         out = done if out is None else out.unionByName(done)
         large = rows.filter(F.col("n") > NODE).select("node", "rep")
@@ -321,12 +321,12 @@ def _labelled(docs: DataFrame, shingle: int, top: int) -> DataFrame:
 
     Classes are numbered, so that rows that share an id, or have none, are told apart.
     """
-    found = settled(classes(docs, shingle))
+    found = stored(classes(docs, shingle))
     first = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "mark", "n_shingles", "minwise")
     reps = found.filter("digest IS NOT NULL").groupBy("digest").agg(F.min(first).alias("first"))
-    reps = settled(reps.select("digest", *(f"first.{name}" for name in ("doc_id", "mark", "n_shingles", "minwise"))))
-    # Numbers of the written rows, which are the same whenever they are read.
-    reps = reps.withColumn("rep", F.monotonically_increasing_id())
+    reps = reps.select("digest", *(f"first.{name}" for name in ("doc_id", "mark", "n_shingles", "minwise")))
+    # Numbered as they are written, so that a class keeps its number whenever it is read.
+    reps = stored(reps.withColumn("rep", F.monotonically_increasing_id()))
     groups = components(candidates(reps, top))
     members = reps.select(F.col("rep").alias("id"), "doc_id", "mark", "n_shingles").join(groups, "id")
     chunks = F.ceil(F.greatest(F.sum("n_shingles") * 8 / SET_BYTES, F.count("*") / MEMBERS)).cast("int")
@@ -355,7 +355,7 @@ def without_copies(docs: DataFrame, shingle: int = 5, top: int = 80) -> DataFram
     without a word are linked with nothing and all stay.
     """
     rows = _labelled(docs, shingle, top).filter("digest IS NOT NULL")
-    keys = settled(rows.groupBy(F.col("class").alias("group"), "doc_id", "mark").agg(F.count("*").alias("n")))
+    keys = stored(rows.groupBy(F.col("class").alias("group"), "doc_id", "mark").agg(F.count("*").alias("n")))
     order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "mark")
     first = keys.groupBy("group").agg(F.min(order).alias("first")).select("group", "first.doc_id", "first.mark")
     kept = keys.join(
@@ -363,7 +363,7 @@ def without_copies(docs: DataFrame, shingle: int = 5, top: int = 80) -> DataFram
         (F.col("group") == F.col("_group")) & F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")),
         "left",
     )
-    kept = settled(kept.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "n", F.col("_group").isNotNull().alias("first")))
+    kept = stored(kept.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "n", F.col("_group").isNotNull().alias("first")))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_mark"))
     out = docs.join(kept.filter("NOT first OR n > 1"), same, "left_anti").select(*docs.columns)
     several = kept.filter("first AND n > 1")
