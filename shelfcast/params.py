@@ -45,8 +45,8 @@ class Params:
     """Units per carton where none are known."""
     markets: tuple[tuple[str, str], ...] = ()
     """Raw market labels with the market they stand for, besides or instead of the built-in ones."""
-    quantity_decimals: int = 4
-    """Decimals kept exactly by the waterfall; a quantity with more fails the run."""
+    quantity_decimals: int = 6
+    """Decimals that the waterfall keeps of quantities; a DECIMAL source with more keeps all of its own."""
 
     def __post_init__(self):
         if self.missing_stock not in ("zero", "null"):

@@ -11,7 +11,7 @@ from shelfcast.plans import flows
 from shelfcast.plans.extracts import Sources
 from shelfcast.plans.impact import oos_labels, ref_summary, revenue_impact, run_summary
 from shelfcast.plans.recommend import item_attributes, lead_times, recommendations
-from shelfcast.plans.waterfall import all_flows, waterfall, waterfall_of, weekly_flow
+from shelfcast.plans.waterfall import flow_rows, waterfall, waterfall_of, weekly_flow
 
 ALLOCATION = [
     "ref", "item", "market", "oos_week_first", "oos_week_last_onset", "oos_week_final",
@@ -53,7 +53,7 @@ def plan_allocation(
     Each result computes the weekly flows anew unless they are given, e.g. read back from a table.
     """
     if weekly is None:
-        weekly = weekly_flow(all_flows(sources, params), params)
+        weekly = weekly_flow(flow_rows(sources, params), params)
     weeks = waterfall_of(weekly, params)
     summary = ref_summary(weeks, params)
     return {

@@ -41,10 +41,13 @@ def vendor_choice(sources: Sources, params: Params) -> DataFrame:
         ["sku"],
         [F.asc_nulls_last("vendor"), F.asc_nulls_last("preferred_vendor")],
     )
+    if "last_orders" in sources:
+        orders = sources["last_orders"]
+    else:
+        orders = sources["po_lines"].filter(F.col("vendor_category") != INTERNAL_VENDORS)
+        orders = orders.select("sku", "ordered_at", "document_number", "line_id", F.col("vendor").alias("po_vendor"))
     ordered = latest_row(
-        sources["po_lines"]
-        .filter(F.col("vendor_category") != INTERNAL_VENDORS)
-        .select("sku", "ordered_at", "document_number", "line_id", F.col("vendor").alias("po_vendor")),
+        orders,
         ["sku"],
         [
             F.desc_nulls_first("ordered_at"),
@@ -105,7 +108,11 @@ def active_products(sources: Sources, params: Params) -> DataFrame:
 def _plannable_po_lines(sources: Sources) -> DataFrame:
     """Latest snapshot of each document, without closed, internal, B2B and web shop lines."""
     memo = F.coalesce("memo", F.lit("A"))
-    return latest_snapshot(sources["po_lines"], ["document_number"]).filter(
+    if "order_lines" in sources:
+        lines = sources["order_lines"].filter("of_document")
+    else:
+        lines = latest_snapshot(sources["po_lines"], ["document_number"])
+    return lines.filter(
         ~F.col("final_status").isin(CLOSED_STATES)
         & (F.col("vendor_category") != INTERNAL_VENDORS)
         & ~memo.contains("B2B")
@@ -113,6 +120,13 @@ def _plannable_po_lines(sources: Sources) -> DataFrame:
     )
 
 
+def newest_shipments(sources: Sources) -> DataFrame:
+    """Latest snapshot of each shipment's header."""
+    if "newest_shipments" in sources:
+        return sources["newest_shipments"]
+    return latest_snapshot(sources["shipment_headers"], ["shipment_number"])
+
+
 def inbound_lines(sources: Sources, params: Params) -> DataFrame:
     """Shipment lines still to arrive for purchase order lines."""
     site = F.substring(F.split_part("deliver_to_location", F.lit("_"), F.lit(2)), 1, 2)
@@ -131,7 +145,7 @@ def inbound_lines(sources: Sources, params: Params) -> DataFrame:
         .distinct()
         .withColumnRenamed("quantity", "ordered")
     )
-    headers = latest_snapshot(sources["shipment_headers"], ["shipment_number"])
+    headers = newest_shipments(sources)
     lines = (
         sources["shipment_lines"]
         .filter("quantity_expected > 0")
@@ -193,7 +207,7 @@ def _latest_stock(sources: Sources) -> DataFrame:
     return (
         global_latest(stock, stock)
         .withColumn("listing_id", F.coalesce("listing_id", "sku"))
-        .withColumn("total_inventory", F.coalesce("total_inventory", F.lit(0.0)))
+        .withColumn("total_inventory", F.coalesce("total_inventory", F.lit(0)))
         .filter("total_inventory + units_open_pos_raw > 0 AND sku IS NOT NULL")
     )
 
@@ -265,37 +279,60 @@ def product_master_latest(sources: Sources, params: Params) -> DataFrame:
     )
 
 
-def _shipped_units(sources: Sources, params: Params) -> DataFrame:
-    """Units expected on shipments by purchase order line."""
+def with_shipped_units(orders: DataFrame, sources: Sources, params: Params) -> DataFrame:
+    """Adds `shipped`, the units expected on shipments of each purchase order line."""
     keys = ["document_number", "sku", "po_line_key"]
     lines = sources["shipment_lines"].withColumnRenamed("po", "document_number")
-    headers = sources["shipment_headers"].select("shipment_number")
     if params.raw_join:
-        return lines.join(headers, "shipment_number").select(
-            *keys, F.col("quantity_expected").alias("shipped")
-        )
-    return (
-        lines.join(headers, "shipment_number", "left_semi")
-        .groupBy(*keys)
-        .agg(F.sum("quantity_expected").alias("shipped"))
-    )
-
-
-def open_po_lines(sources: Sources, params: Params) -> DataFrame:
-    """Purchase order lines with units not yet received or on a shipment."""
-    lines = latest_snapshot(sources["po_lines"], ["document_number", "line_id"]).filter(
+        headers = sources["shipment_headers"].select("shipment_number")
+        shipped = lines.join(headers, "shipment_number").select(*keys, F.col("quantity_expected").alias("shipped"))
+    else:
+        # A shipment with a header has a newest one.
+        headers = sources.get("newest_shipments", sources["shipment_headers"]).select("shipment_number")
+        shipped = lines.join(headers, "shipment_number", "left_semi").groupBy(*keys)
+        shipped = shipped.agg(F.sum("quantity_expected").alias("shipped"))
+    return orders.join(shipped, keys, "left")
+
+
+def newest_status(sources: Sources, params: Params) -> DataFrame:
+    """One stage text per purchase order line of the status feed."""
+    order = [F.asc_nulls_last("current_status")]
+    status = latest_row(po_status(sources, params), ["document_number", "line_id"], order)
+    return status.select("document_number", "line_id", "current_status")
+
+
+def open_orders(sources: Sources, params: Params) -> DataFrame:
+    """Purchase order lines with `leftover_quantity` not yet received or on a shipment, and all their columns."""
+    if "order_lines" in sources:
+        lines = sources["order_lines"]
+    else:
+        lines = latest_snapshot(sources["po_lines"], ["document_number", "line_id"])
+    lines = lines.filter(
         ~F.col("final_status").isin(CLOSED_STATES)
         & (F.col("quantity") > 0)
         & (F.col("vendor_category") != INTERNAL_VENDORS)
         & F.expr("production_status <> 'Shipped' OR production_status IS NULL")
     )
-    market = normalize_market(F.col("market"), params.market_map(PAN_EU))
+    if "shipped" not in lines.columns:
+        lines = with_shipped_units(lines, sources, params)
     received, on_shipment = units(F.col("qty_received")), units(F.col("quantity_on_shipments"))
     covered = F.greatest(received, on_shipment, F.coalesce("shipped", F.lit(0)))
+    return lines.withColumns(
+        {
+            "market": normalize_market(F.col("market"), params.market_map(PAN_EU)),
+            "received": received,
+            "on_shipment": on_shipment,
+            "leftover_quantity": F.col("quantity") - covered,
+            "crd": F.col("confirmed_crd").try_cast("date"),
+        }
+    ).filter("leftover_quantity > 0")
+
+
+def open_po_lines(sources: Sources, params: Params) -> DataFrame:
+    """Purchase order lines with units not yet received or on a shipment."""
+    market = F.col("market")
     return (
-        lines.join(_shipped_units(sources, params), ["document_number", "sku", "po_line_key"], "left")
-        .withColumn("leftover_quantity", F.col("quantity") - covered)
-        .filter("leftover_quantity > 0")
+        open_orders(sources, params)
         .select(
             ref_of(item_of(F.col("listing_id"), F.col("sku"), "null"), market).alias("ref"),
             "id",
@@ -304,7 +341,7 @@ def open_po_lines(sources: Sources, params: Params) -> DataFrame:
             "sku",
             "listing_id",
             F.col("brand").alias("brand_name"),
-            market.alias("market"),
+            "market",
             "prd_reconfirmation",
             F.col("vendor").alias("vendor_name"),
             F.coalesce("memo", F.lit("")).alias("memo"),
@@ -318,7 +355,7 @@ def open_po_lines(sources: Sources, params: Params) -> DataFrame:
             german_date(F.col("expected_po_arrival_date")).alias("expected_po_arrival_date"),
             german_date(F.col("planned_pickup_date")).alias("planned_pickup_date"),
             "prd_change_reason",
-            F.col("confirmed_crd").try_cast("date").alias("crd"),
+            "crd",
             "item_rate",
             "item_rate_eur",
             "transport_mode",
@@ -335,8 +372,8 @@ def open_po_lines(sources: Sources, params: Params) -> DataFrame:
             "sm_sign_off",
             "anti_po",
             "quantity",
-            received.alias("quantity_received"),
-            on_shipment.alias("quantity_on_shipment"),
+            F.col("received").alias("quantity_received"),
+            F.col("on_shipment").alias("quantity_on_shipment"),
             "leftover_quantity",
         )
     )

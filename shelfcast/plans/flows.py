@@ -79,7 +79,7 @@ def opening_contributions(sources: Sources, params: Params) -> DataFrame:
     total = F.col("total_inventory")
     if params.double_deduct:
         for location in ("in_walmart", "in_to_osc_l3m", "in_fm", "units_in_d2amz"):
-            total = total - F.coalesce(location, F.lit(0.0))
+            total = total - F.coalesce(location, F.lit(0))
     stock = extracts.stock_totals(sources, params).select(
         ref_of(item, market).alias("ref"), item.alias("item"), market.alias("market"),
         total.alias("total_inventory"),
@@ -114,20 +114,22 @@ def vendor_regions(sources: Sources, params: Params) -> DataFrame:
     )
 
 
+# What the flows need of an open PO line; the report has four times as many columns.
+OPEN_ORDER = [
+    "document_number", "line_id", "sku", "listing_id", "market", "vendor", "wh_type", "crd", "leftover_quantity",
+]
+
+
 def open_po_with_origin(sources: Sources, params: Params) -> DataFrame:
     """Open PO lines with the stage text of the status feed and the vendor's shipping region."""
-    status = latest_row(
-        extracts.po_status(sources, params),
-        ["document_number", "line_id"],
-        [F.asc_nulls_last("current_status")],
-    )
+    lines = extracts.open_orders(sources, params)
+    if "current_status" not in lines.columns:
+        status = extracts.newest_status(sources, params)
+        lines = lines.select(*OPEN_ORDER).join(status, ["document_number", "line_id"], "left")
     regions = vendor_regions(sources, params).select(
-        F.col("vendor_id").alias("vendor_key"), "shipping_region"
+        F.col("vendor_id").alias("vendor"), "shipping_region"
     )
-    lines = extracts.open_po_lines(sources, params)
-    return lines.join(status, ["document_number", "line_id"], "left").join(
-        regions, F.col("vendor_name") == F.col("vendor_key"), "left"
-    ).drop("vendor_key")
+    return lines.select(*OPEN_ORDER, "current_status").join(regions, "vendor", "left")
 
 
 def po_expected_dates(
@@ -160,12 +162,20 @@ def po_expected_dates(
     )
 
 
-def classified_po_lines(sources: Sources, params: Params, strict: bool = False) -> DataFrame:
-    """Open PO lines in a signed or unsigned stage, with ref and expected delivery."""
+def classified_po_lines(
+    sources: Sources, params: Params, strict: bool = False, every: bool = False
+) -> DataFrame:
+    """Open PO lines in a signed or unsigned stage, with ref and expected delivery.
+
+    With `every`, lines in other stages stay, once each and without a class.
+    """
     lines = open_po_with_origin(sources, params)
     stages = dimensions.table("stage_class", sources)
-    lines = lines.join(stages, F.col("current_status") == F.col("stage")).drop("stage")
-    lines = lines.join(_master_listing(sources, params), "sku", "left")
+    in_stage = F.col("current_status") == F.col("stage")
+    lines = lines.join(stages, in_stage, "left" if every else "inner").drop("stage")
+    listings = _master_listing(sources, params).withColumnRenamed("sku", "master_sku")
+    listed = (F.col("sku") == F.col("master_sku")) & F.col("klass").isNotNull()
+    lines = lines.join(listings, listed, "left").drop("master_sku")
     item = F.coalesce("listing_id", "master_listing", "sku")
     lines = lines.withColumn("ref", ref_of(item, F.col("market")))
     routes = sources["route_leadtime"] if "route_leadtime" in sources else None
@@ -173,11 +183,12 @@ def classified_po_lines(sources: Sources, params: Params, strict: bool = False)
     return po_expected_dates(lines, params, routes, buffers, strict)
 
 
-def po_contributions(sources: Sources, params: Params) -> DataFrame:
-    """PO rows with their class."""
-    lines = classified_po_lines(sources, params)
+def po_contributions(sources: Sources, params: Params, every: bool = False) -> DataFrame:
+    """PO rows with their class; with `every`, also those without one, which have no ref."""
+    lines = classified_po_lines(sources, params, every=every)
+    ref = F.when(F.col("klass").isNotNull(), F.col("ref"))
     return lines.select(
-        "ref", F.length("market").alias("market_chars"),
+        ref.alias("ref"), F.length("market").alias("market_chars"),
         monday(F.col("expected_delivery_date")).alias("week_start"),
         F.col("leftover_quantity").cast("double").alias("quantity"), "klass",
     )

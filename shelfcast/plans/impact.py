@@ -121,14 +121,19 @@ def oos_labels(df: DataFrame) -> DataFrame:
     )
 
 
-def run_summary(summary: DataFrame) -> DataFrame:
-    """One row: refs planned, share of demand covered in percent, refs that run out of stock."""
+def run_totals() -> list[Column]:
+    """Totals over per-ref results: refs planned, share of demand covered in percent, refs out of stock."""
     demand, missed = F.sum("total_demand"), F.sum("total_missed")
     covered = F.bround((demand - missed) / demand * 100, 2)
-    return summary.agg(
-        F.count("*").alias("n_refs"),
+    return [
+        F.count(F.lit(1)).alias("n_refs"),
         demand.alias("total_demand"),
         missed.alias("total_missed"),
         F.when(demand > 0, covered).otherwise(F.lit(100.0)).alias("demand_coverage"),
         F.count("oos_first").alias("oos_count"),
-    )
+    ]
+
+
+def run_summary(summary: DataFrame) -> DataFrame:
+    """One row with the totals of a run."""
+    return summary.agg(*run_totals())

@@ -2,55 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from dataclasses import replace
+from decimal import Decimal
 
-from shelfcast.functions.columns import floor_at_zero
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+from shelfcast.functions.columns import col_or, floor_at_zero
 from shelfcast.functions.weeks import week_calendar
 from shelfcast.params import Params
 from shelfcast.plans import flows
 from shelfcast.plans.extracts import Sources
-from shelfcast.sources import dimensions
 
 FLOWS = ["demand", "inbound", "po_signed", "po_unsigned"]
-
-
-def all_flows(sources: Sources, params: Params) -> DataFrame:
-    """Rows of all flows and of the opening stock that have a ref, one measure filled in each."""
-    return flow_rows(sources, params).filter("ref IS NOT NULL")
+MEASURES = [*FLOWS, "opening", "po_other"]
 
 
 def left_out(sources: Sources, params: Params) -> DataFrame:
     """Units of each flow that the plan leaves out, by reason; a row for every reason."""
-    rows = flow_rows(sources, params)
-    planned = week_calendar(rows.sparkSession, params).filter(F.col("week_idx") < params.horizon)
-    # The calendar has at most 157 rows.
-    rows = rows.join(F.broadcast(planned.select("week_idx", "week_start")), "week_start", "left")
-    reason = (
-        F.when(F.col("ref").isNull(), "no ref")
-        .when(F.col("opening").isNotNull() | F.col("week_idx").isNotNull(), None)
-        .when(F.col("week_start").isNull(), "no week")
-        .otherwise("outside the planned weeks")
-    )
-    orders = flows.open_po_with_origin(sources, params)
-    stages = dimensions.table("stage_class", sources)
-    other = orders.join(stages, F.col("current_status") == F.col("stage"), "left_anti").select(
-        F.lit("stage of no class").alias("reason"), F.col("leftover_quantity").cast("double").alias("po_other")
-    )
-    measures = [*FLOWS, "opening", "po_other"]
-    rows = rows.withColumn("reason", reason).filter(
-        F.col("reason").isNotNull() & F.coalesce(*FLOWS, "opening").isNotNull()
-    )
-    rows = rows.unionByName(other, allowMissingColumns=True)
-    return rows.groupBy("reason").agg(
-        *[F.coalesce(F.sum(F.col(name).cast("double")), F.lit(0.0)).alias(name) for name in measures]
-    )
+    return left_out_of(weekly_flow(flow_rows(sources, params), params))
+
+
+def left_out_of(weekly: DataFrame) -> DataFrame:
+    """What weekly flows say of units that are left out, by reason; reads no source again."""
+    rows = weekly.filter("reason IS NOT NULL").groupBy("reason")
+    rows = rows.agg(*[F.sum(name).cast("double").alias(name) for name in MEASURES])
+    return rows.filter(F.coalesce(*MEASURES).isNotNull()).na.fill(0.0)
 
 
 def flow_rows(sources: Sources, params: Params) -> DataFrame:
-    """Rows of all flows and of the opening stock, one measure filled in each."""
-    orders = flows.po_contributions(sources, params)
-    signed = F.when(F.col("klass") == "signed", F.col("quantity"))
-    unsigned = F.when(F.col("klass") == "unsigned", F.col("quantity"))
+    """Rows of all flows and of the opening stock, one measure filled in each.
+
+    Rows without a ref are not planned; orders in a stage of no class are among them.
+    """
+    orders = flows.po_contributions(sources, params, every=True)
+    by_class = {"po_signed": F.col("klass") == "signed", "po_unsigned": F.col("klass") == "unsigned",
+                "po_other": F.col("klass").isNull()}
     keys = ["ref", "market_chars", "week_start"]
     stock = flows.opening_contributions(sources, params).select(
         "ref", F.length("market").alias("market_chars"), F.lit(None).cast("date").alias("week_start"),
@@ -59,7 +45,7 @@ def flow_rows(sources: Sources, params: Params) -> DataFrame:
     parts = [
         flows.demand_contributions(sources, params).select(*keys, F.col("quantity").alias("demand")),
         flows.inbound_contributions(sources, params).select(*keys, F.col("quantity").alias("inbound")),
-        orders.select(*keys, signed.alias("po_signed"), unsigned.alias("po_unsigned")),
+        orders.select(*keys, *[F.when(own, F.col("quantity")).alias(name) for name, own in by_class.items()]),
         stock,
     ]
     result = parts[0]
@@ -68,55 +54,64 @@ def flow_rows(sources: Sources, params: Params) -> DataFrame:
     return result
 
 
+def kept_decimals(contributions: DataFrame, params: Params) -> int:
+    """Decimals that the plan keeps: those of the DECIMAL columns, and the parameter's for others."""
+    kinds = [field.dataType for field in contributions.schema if field.name in MEASURES]
+    return max([params.quantity_decimals, *(kind.scale for kind in kinds if isinstance(kind, T.DecimalType))])
+
+
+def _whole(value: Column, kind: T.DataType, decimals: int) -> Column:
+    """The quantity as a whole number of the smallest unit kept, which sums exactly."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.round(value * 10.0**decimals).cast("long")
+    return (value * 10**decimals).cast("long")
+
+
 def weekly_flow(contributions: DataFrame, params: Params) -> DataFrame:
-    """Flows added up per ref and planning week.
+    """Flows added up per ref and planning week, as exact decimals.
 
-    A ref keeps one row without a week for its opening stock and for what lies outside the calendar,
-    so that every ref of any flow is planned.
+    A ref keeps a row without a week for its opening stock, and one for what lies outside the calendar,
+    so that every ref of any flow is planned. What is left out is kept by reason; rows without a ref
+    are one row for each reason.
     """
     calendar = week_calendar(contributions.sparkSession, params)
     planned = calendar.filter(F.col("week_idx") < params.horizon).select("week_idx", "week_start")
+    other = col_or(contributions, "po_other", None).cast("double")
+    reason = (
+        F.when(F.col("ref").isNull(), F.when(other.isNotNull(), "stage of no class").otherwise("no ref"))
+        .when(F.col("opening").isNotNull() | F.col("week_idx").isNotNull(), None)
+        .when(F.col("week_start").isNull(), "no week")
+        .otherwise("outside the planned weeks")
+    )
+    decimals = kept_decimals(contributions, params)
+    unit = F.lit(Decimal(1).scaleb(-decimals)).cast(f"decimal({decimals + 1},{decimals})")
+    kinds = {field.name: field.dataType for field in contributions.schema} | {"po_other": T.DoubleType()}
+    rows = contributions.withColumn("po_other", other)
+    sums = {
+        name: (F.sum(_whole(F.col(name), kinds[name], decimals)).cast("decimal(19,0)") * unit).cast(f"decimal(19,{decimals})")
+        for name in MEASURES
+    }
     # The calendar has at most 157 rows. Adding up per week first keeps what reaches a ref small.
-    return (
-        contributions.join(F.broadcast(planned), "week_start", "left")
-        .groupBy("ref", "week_idx")
-        .agg(
-            F.min("market_chars").alias("market_chars"),
-            F.sum("opening").alias("opening"),
-            *[F.sum(name).alias(name) for name in FLOWS],
-        )
+    rows = rows.join(F.broadcast(planned), "week_start", "left")
+    week = F.when(F.col("ref").isNotNull(), F.col("week_idx"))
+    rows = rows.withColumns({"reason": reason, "week_idx": week})
+    return rows.groupBy("ref", "week_idx", "reason").agg(
+        F.min("market_chars").alias("market_chars"), *[total.alias(name) for name, total in sums.items()]
     )
 
 
-def _scaled(value: Column, params: Params) -> Column:
-    """Whole number of the smallest unit kept; fails where that is not the quantity itself.
-
-    A sum of doubles may be off by far less than a thousandth of the unit.
-    """
-    exact = value * 10**params.quantity_decimals
-    whole = F.round(exact)
-    message = F.concat(F.lit(f"more than {params.quantity_decimals} decimals: "), value.cast("string"))
-    fine = F.abs(exact - whole) <= F.greatest(F.lit(0.001), F.abs(exact) * 1e-12)
-    return F.when(value.isNull() | fine, whole).otherwise(F.raise_error(message)).cast("long")
-
-
 def dense_weeks(weekly: DataFrame, params: Params) -> DataFrame:
     """One row per ref and planning week, quantities as whole numbers of the smallest unit kept.
 
     A ref has at most `horizon` filled weeks, so gathering them is bounded. The rows stay on the
     partition of their ref, where the windows of the waterfall then run without another shuffle.
     """
-    in_plan = F.when(
-        F.col("week_idx").isNotNull(),
-        F.struct(
-            "week_idx",
-            F.struct(*[_scaled(F.coalesce(n, F.lit(0.0)), params).alias(n) for n in FLOWS]),
-        ),
-    )
-    refs = weekly.groupBy("ref").agg(
+    unit = 10 ** weekly.schema["demand"].dataType.scale
+    filled = F.struct("week_idx", F.struct(*[(F.coalesce(n, F.lit(0)) * unit).cast("long").alias(n) for n in FLOWS]))
+    refs = weekly.filter("ref IS NOT NULL").groupBy("ref").agg(
         F.min("market_chars").alias("market_chars"),
-        _scaled(F.sum("opening"), params).alias("opening"),
-        F.map_from_entries(F.collect_list(in_plan)).alias("weeks"),
+        (F.sum("opening") * unit).cast("long").alias("opening"),
+        F.map_from_entries(F.collect_list(F.when(F.col("week_idx").isNotNull(), filled))).alias("weeks"),
     )
     if params.missing_stock == "zero":
         refs = refs.withColumn("opening", F.coalesce("opening", F.lit(0).cast("long")))
@@ -175,11 +170,12 @@ def with_dates(weeks: DataFrame, params: Params) -> DataFrame:
 
 def waterfall_of(weekly: DataFrame, params: Params) -> DataFrame:
     """The planning weeks of every ref, out of its weekly flows."""
-    return with_dates(run_waterfall(dense_weeks(weekly, params), params), params)
+    kept = replace(params, quantity_decimals=weekly.schema["demand"].dataType.scale)
+    return with_dates(run_waterfall(dense_weeks(weekly, kept), kept), params)
 
 
 def waterfall(sources: Sources, params: Params) -> DataFrame:
-    return waterfall_of(weekly_flow(all_flows(sources, params), params), params)
+    return waterfall_of(weekly_flow(flow_rows(sources, params), params), params)
 
 
 def with_oos_marks(weeks: DataFrame) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Mapping
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfcast.params import Params
 from shelfcast.plans.impact import MEASURES
@@ -25,10 +27,43 @@ def wide_weekly(weeks: DataFrame, params: Params, measures: list[str]) -> DataFr
     return weeks.groupBy("ref").pivot("label", labels).agg(*cells).na.fill(0.0)
 
 
-def write_stage(df: DataFrame, base: str, stage: str, run_date: date) -> DataFrame:
-    """Writes an intermediate table under the run's folder and reads it back."""
+def write_stage(
+    df: DataFrame, base: str, stage: str, run_date: date, by: str | None = None, spread: bool = False
+) -> DataFrame:
+    """Writes an intermediate table under the run's folder and reads it back.
+
+    With `by`, it is bucketed by that column, as many buckets as shuffle partitions, so that windows and
+    totals per key read it without a shuffle. `spread` first brings the rows of a key together; leave it
+    out where they lie together already.
+    """
     path = f"{base}/run_date={run_date.isoformat()}/debug/{stage}"
-    df.write.mode("overwrite").parquet(path)
+    if by is None:
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.repartition(buckets, by) if spread else df
+    # Bucketing is known to the catalog alone; the table's files stay in the run's folder.
+    table = f"shelfcast_{stage}_{uuid.uuid4().hex}"
+    rows.write.mode("overwrite").option("path", path).bucketBy(buckets, by).sortBy(by).saveAsTable(table, format="parquet")
+    return spark.table(table)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share; on one machine a temporary one where none is set."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if folder is None and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def keep_shared(df: DataFrame, name: str) -> DataFrame:
+    """Writes a table to the folder that all executors share and reads it back."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -2,6 +2,7 @@ import random
 from dataclasses import replace
 from datetime import date, datetime, timedelta
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,10 +11,13 @@ from shelfcast.params import Params
 from shelfcast.plans import extracts, flows
 from shelfcast.plans.allocation import ALLOCATION, allocation, plan_allocation
 from shelfcast.plans.impact import days_of_cover, oos_labels, ref_summary, revenue_impact, run_summary
+from shelfcast.plans.orders import staged
 from shelfcast.plans.recommend import lead_times, recommendations
 from shelfcast.plans.waterfall import (
-    FLOWS, dense_weeks, left_out, oos_weeks, run_waterfall, weekly_flow, with_dates, with_oos_marks,
+    FLOWS, dense_weeks, flow_rows, left_out, left_out_of, oos_weeks, run_waterfall, waterfall_of, weekly_flow, with_dates,
+    with_oos_marks,
 )
+from shelfcast.sources.testdata import TestdataSources
 
 AS_OF = date(1998, 3, 2)
 FLOW_SCHEMA = (
@@ -584,7 +588,13 @@ def test_whole_run_from_tables_to_files(spark, source, sources, tmp_path, capsys
     rows = spark.read.option("header", True).csv(str(result)).collect()
     assert [(r.ref, r["CW14-1998_sales_missed_w"], r["CW20-1998_sales_missed_w"]) for r in rows] == [("LUS", "5.0", "0.0")]
     stages = {path.name for path in (tmp_path / "out" / "run_date=1998-03-02" / "debug").iterdir()}
-    assert stages == {"weekly_flow", "sales_missed", "per_ref", "left_out", "run_summary"}
+    assert stages == {
+        "order_index", "newest_shipments", "order_lines", "weekly_flow", "sales_missed", "per_ref", "left_out", "run_summary",
+    }
+    totals = spark.read.parquet(str(tmp_path / "out" / "run_date=1998-03-02" / "debug" / "run_summary")).collect()
+    assert [row.asDict() for row in totals] == [
+        {"n_refs": 1, "total_demand": 30.0, "total_missed": 30.0, "demand_coverage": 0.0, "oos_count": 1}
+    ]
 
 
 def test_run_takes_routes_and_rules_from_files(spark, source, sources, tmp_path, capsys):
@@ -611,10 +621,10 @@ def test_run_takes_routes_and_rules_from_files(spark, source, sources, tmp_path,
 
 def test_summary_of_written_weeks_needs_no_window(spark, params, tmp_path):
     weeks = weeks_of(spark, [flow("a", 0, 4.0), flow("b", 60, 6.0), stock("b", 2.0)], params)
-    written = sinks.write_stage(with_oos_marks(weeks), str(tmp_path), "weeks", AS_OF)
+    written = sinks.write_stage(with_oos_marks(weeks), str(tmp_path), "weeks", AS_OF, by="ref")
     summary = ref_summary(written, params, ["sales_missed"])
     plan = summary._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert "Window" not in plan and "Exchange" not in plan
     plain = ref_summary(weeks, params)
     assert sorted(summary.select(plain.columns).collect()) == sorted(plain.collect())
     wide = sinks.wide_weekly(weeks, params, ["sales_missed"])
@@ -628,10 +638,37 @@ def test_registered_reports_are_not_sorted(source, sources, params):
         assert "rangepartitioning" not in plan
 
 
-def test_finer_quantities_fail(spark, params):
-    assert weeks_of(spark, [flow("a", 0, 0.1), flow("a", 0, 0.2)], params).count() == 104
-    with pytest.raises(Exception, match="more than 4 decimals"):
-        weeks_of(spark, [flow("a", 0, 0.00005)], params).collect()
+def test_weeks_of_written_flows_need_no_shuffle(spark, params, tmp_path):
+    rows = [flow("a", 0, 4.0), flow("b", 60, 6.0), stock("b", 2.0), stock("c", 1.0)]
+    weekly = weekly_flow(spark.createDataFrame(rows, FLOW_SCHEMA), params)
+    written = sinks.write_stage(weekly, str(tmp_path), "weekly_flow", AS_OF, by="ref", spread=True)
+    summary = ref_summary(waterfall_of(written, params), params)
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "Exchange hashpartitioning" not in plan
+    plain = ref_summary(weeks_of(spark, rows, params), params)
+    assert sorted(summary.collect()) == sorted(plain.collect())
+    # A second run of the day takes the place of the first.
+    again = sinks.write_stage(weekly.filter("ref = 'a'"), str(tmp_path), "weekly_flow", AS_OF, by="ref", spread=True)
+    assert [r.ref for r in again.select("ref").distinct().collect()] == ["a"]
+
+
+def test_quantities_add_up_exactly(spark, params):
+    rows = [flow("a", 0, 0.1), flow("a", 0, 0.2), flow("a", 1, 0.000001), stock("a", 0.3)]
+    weeks = {r.week_idx: r for r in weeks_of(spark, rows, params).collect()}
+    assert (weeks[0].demand, weeks[0].inventory_end, weeks[0].sales_missed) == (0.3, 0.0, 0.0)
+    assert (weeks[1].demand, weeks[1].sales_missed) == (0.000001, 0.000001)
+    # What has more decimals than are kept is rounded, and does not fail the run.
+    assert weeks_of(spark, [flow("a", 0, 0.0000004)], params).agg(F.sum("demand")).collect()[0][0] == 0.0
+
+
+def test_decimals_of_a_source_are_all_kept(spark, params):
+    names = [*FLOWS, "opening"]
+    exact = spark.createDataFrame([flow("a", 0, 1.0), flow("a", 0, 1.0), stock("a", 1.0)], FLOW_SCHEMA)
+    tiny = {n: (F.col(n).cast("decimal(10,9)") * F.lit("0.000000001").cast("decimal(10,9)")).cast("decimal(18,9)") for n in names}
+    weekly = weekly_flow(exact.withColumns(tiny), params)
+    assert weekly.schema["demand"].dataType.scale == 9
+    first = waterfall_of(weekly, params).filter("week_idx = 0").collect()[0]
+    assert (first.demand, first.inventory_start, first.sales_missed) == (2e-9, 1e-9, 1e-9)
 
 
 def test_units_left_out_by_reason(source, sources, params):
@@ -642,6 +679,81 @@ def test_units_left_out_by_reason(source, sources, params):
     assert left_out(tables, replace(params, drop_week_53=False)).count() == 0
 
 
+def test_orders_in_stages_of_no_class_are_left_out(source, sources, params):
+    status = [{"document_number": "D", "line_id": line, "current_status": text} for line, text in (("1", "odd"), ("2", None))]
+    lines = [po(line_id=line, po_line_key=line) for line in "123"]
+    master = [{"sku": "s", "listing_id": x, "snapshot_date": date(1998, 3, 1)} for x in ("M1", "M2")]
+    tables = sources(po_lines=source("po_lines", *lines), po_status=source("po_status", *status), product_master=source("product_master", *master))
+    for fan_out in (False, True):  # a line without a class counts once, whatever listings its sku has
+        settings = replace(params, fan_out_master=fan_out)
+        weekly = weekly_flow(flow_rows(tables, settings), settings)
+        assert [(r.reason, r.po_other, r.demand) for r in left_out_of(weekly).collect()] == [("stage of no class", 240.0, 0.0)]
+        assert waterfall_of(weekly, settings).count() == 0
+
+
+def order_tables(source, sources):
+    """Orders and shipments of several snapshots, undated ones, ties, internal vendors and unknown keys among them."""
+    rng, days = random.Random(3), [date(1998, 2, 1), date(1998, 2, 8), date(1998, 2, 15)]
+    lines = [
+        po(
+            document_number=rng.choice(["D1", "D2", "D3", None]), line_id=rng.choice(["1", "2", None]), sku=rng.choice(["s", "t", "u"]),
+            po_line_key=rng.choice(["K", "J"]), snapshot_date=rng.choice([*days, *days, None]), vendor=rng.choice(["V", "W", None]),
+            vendor_category=rng.choice(["Manufacturers", "Manufacturers", "Intercompany", None]),
+            final_status=rng.choice(["Open", "Open", "Closed", None]), memo=rng.choice([None, "a B2B order"]),
+            ordered_at=rng.choice(["1998-01-01", "1998-01-02", "n/a", None]), quantity=rng.choice([100, 0, 200]),
+        )
+        for _ in range(150)
+    ]
+    shipped = [shipment_line(shipment_number=rng.choice("STU"), po=rng.choice(["D1", "D2"]), po_line_key=rng.choice("KJ"), sku=rng.choice("st")) for _ in range(30)]
+    headers = [{"shipment_number": rng.choice("STV"), "market_place": "US", "snapshot_date": rng.choice(days)} for _ in range(12)]
+    status = [{"document_number": "D1", "line_id": rng.choice("12"), "current_status": f"stage {n}"} for n in range(4)]
+    mapped = [{"sku": sku} for sku in "stu"]
+    return sources(
+        po_lines=source("po_lines", *lines), shipment_lines=source("shipment_lines", *shipped), po_status=source("po_status", *status),
+        shipment_headers=source("shipment_headers", *headers), sku_vendor_map=source("sku_vendor_map", *mapped),
+    )
+
+
+@pytest.mark.parametrize("raw_join", [False, True])
+def test_newest_orders_written_once_say_what_the_history_says(source, sources, params, raw_join):
+    params = replace(params, raw_join=raw_join)
+    tables = order_tables(source, sources)
+    kept = {}
+
+    def keep(df, name):
+        kept[name] = sinks.keep_shared(df, name)
+        return kept[name]
+
+    once = staged(tables, params, keep)
+    assert set(kept) == {"order_index", "newest_shipments", "order_lines"}
+    for build in (extracts.open_po_lines, extracts.inbound_lines, extracts.vendor_choice, flows.open_po_with_origin):
+        plain, again = build(tables, params), build(once, params)
+        assert plain.count() > 0 and plain.columns == again.columns
+        assert sorted(map(repr, again.collect())) == sorted(map(repr, plain.collect())), build.__name__
+        assert "po_lines" not in again._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_allocation_reads_each_source_at_most_once_or_twice(spark, params):
+    tables = TestdataSources(spark, "/root/testdata/sf0.001")
+    plan = allocation(staged(tables, params, sinks.keep_shared), params)._jdf.queryExecution().executedPlan()
+    # Subqueries are printed with every filter that uses them; a scan's columns tell it apart.
+    scans = {line.split("FileScan")[1].split("]")[0] for line in plan.toString().splitlines() if "lineitem.parquet" in line}
+    assert len(scans) <= 8
+
+
+def test_reports_are_written_in_order_file_by_file(spark, source, sources, params, tmp_path):
+    rng = random.Random(5)
+    plans = [plan_row(sku=f"s{rng.randrange(50):02}", market=rng.choice(["US", "UK"]), quantity=float(rng.randrange(90))) for _ in range(400)]
+    tables = sources(sales_plan=source("sales_plan", *plans))
+    sinks.write_debug({"demand_plan": extracts.report("demand_plan", tables, params).repartitionByRange(4, "sku", "market", "quantity")
+                       .sortWithinPartitions("sku", "market", "quantity")}, str(tmp_path), AS_OF)
+    sinks.write_debug({"plain": extracts.report("demand_plan", tables, params)}, str(tmp_path), AS_OF)
+    for name in ("demand_plan", "plain"):
+        files = sorted((tmp_path / f"run_date={AS_OF}" / "debug" / name).glob("part-*.parquet"))
+        rows = [tuple(r[c] for c in ("sku", "market", "quantity")) for f in files for r in pq.read_table(f).to_pylist()]
+        assert rows == sorted(rows) and len(rows) > 50
+
+
 def test_narrow_buffers_belong_to_the_narrow_routes(spark, params):
     lines = spark.sql("SELECT 'CN' AS shipping_region, 'CA' AS market, 'AMZ' AS wh_type, DATE'1998-03-02' AS crd")
     days = [flows.po_expected_dates(lines, replace(params, po_routes=r)).collect()[0].buffer_days for r in ("all", "po")]
