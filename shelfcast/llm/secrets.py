@@ -330,6 +330,15 @@ def compiled(rules: tuple[Rule, ...] = RULES) -> Scanner:
     return Scanner(tuple(rules), forward, backward)
 
 
+def _code_points(data: bytes, spans: list[tuple[int, int, int]]) -> dict[int, int]:
+    """Code points before each place where a span begins or ends, counted in one walk over the text."""
+    out, last, count = {}, 0, 0
+    for at in sorted({place for start, end, _ in spans for place in (start, end)}):
+        count += len(data[last:at].decode())
+        out[at], last = count, at
+    return out
+
+
 def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """doc_id and spans: array of (kind, start, end) in code points, by start, then by rule."""
     scanner = compiled(rules)
@@ -340,13 +349,10 @@ def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
             for text in batch["text"]:
                 data = (text or "").encode()
                 found = scanner.spans(data)
+                place = _code_points(data, found)
                 out.append(
                     [
-                        {
-                            "kind": scanner.rules[rule].kind,
-                            "start": len(data[:start].decode()),
-                            "end": len(data[:end].decode()),
-                        }
+                        {"kind": scanner.rules[rule].kind, "start": place[start], "end": place[end]}
                         for start, end, rule in found
                     ]
                 )

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import pytest
 
@@ -57,3 +58,13 @@ def test_empty_table(docs):
 def test_a_dropped_match_is_still_used_up(text, spans):
     scanner = secrets.compiled()
     assert [(scanner.rules[r].kind, a, b) for a, b, r in scanner.spans(text.encode())] == spans
+
+
+def test_places_of_many_spans_are_counted_in_one_walk(docs):
+    text = "é token=abcdefgh1 ü " * 20_000
+    started = time.process_time()
+    places = secrets._code_points(text.encode(), secrets.compiled().spans(text.encode()))
+    assert time.process_time() - started < 20
+    row = secrets.secret_spans(docs(text)).collect()[0]
+    assert [(s.start, s.end) for s in row.spans] == [(20 * i + 2, 20 * i + 17) for i in range(20_000)]
+    assert len(places) == 40_000
