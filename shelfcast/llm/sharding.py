@@ -1,6 +1,6 @@
 """Shards along a Hilbert curve through several metadata dimensions.
 
-Each dimension is cut into cells of near equal row counts, the cells of a row give its place on the
+Texts count by their place among all distinct values, in whole. Each dimension is cut into cells of near equal row counts, the cells of a row give its place on the
 curve, and equal runs of the curve become shards. Neighbours on the curve have near values in all
 dimensions, so the files of a shard cover a small range of each and can be skipped by any of them.
 The law is `rows`: shards differ by one row at most.
@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shelfcast.llm.common import documents, ranked
+from shelfcast.llm.common import documents, ranked, stored
 
 SHARDS, BITS = 40, 5
 
@@ -49,10 +49,11 @@ def hilbert_index(cells: list[np.ndarray], bits: int) -> np.ndarray:
     return out
 
 
-def code(text: str) -> Column:
-    """The first seven bytes as a number, in the order of the texts."""
-    start = F.substring(F.hex(F.col(text)), 1, 14)
-    return F.conv(F.rpad(start, 14, "0"), 16, 10).cast("long")
+def with_code(rows: DataFrame, text: str) -> DataFrame:
+    """Adds `_<text>`: the place of the whole value among all distinct ones, in their order; null for a null."""
+    values = ranked(rows.select(text).filter(F.col(text).isNotNull()).distinct(), [F.col(text)])
+    values = values.select(F.col(text).alias("_value"), F.col("rank").alias(f"_{text}"))
+    return rows.join(values, F.col(text) == F.col("_value"), "left").drop("_value")
 
 
 def cells(rows: DataFrame, names: list[str], bits: int) -> list[Column]:
@@ -81,17 +82,20 @@ def on_curve(docs: DataFrame, bits: int = BITS) -> DataFrame:
         "doc_id",
         (F.octet_length(text) + 16).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        code("source").alias("_source"),
-        code("lang").alias("_lang"),
+        "source",
+        "lang",
     )
+    # Written once: texts are read in one scan.
+    rows = stored(with_code(with_code(stored(rows), "source"), "lang"))
     found = cells(rows, ["_source", "_lang", "size"], bits)
     return rows.select("doc_id", "size", "text_crc32", curve(*found).alias("curve"))
 
 
 def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """doc_id, size, text_crc32, curve, shard and slot: equal runs of the curve, counted from 0."""
-    ordered = ranked(on_curve(docs), [F.col(c).asc_nulls_last() for c in ("curve", "text_crc32", "size", "doc_id")])
-    total = max(1, docs.count())
+    places = on_curve(docs)
+    ordered = ranked(places, [F.col(c).asc_nulls_last() for c in ("curve", "text_crc32", "size", "doc_id")])
+    total = max(1, places.count())
     shard = F.expr(f"rank * {shards} div {total}")
     # The first rank of a shard is the least with rank * shards >= shard * total.
     slot = F.col("rank") - F.expr(f"(shard * {total} + {shards - 1}) div {shards}")

@@ -55,6 +55,42 @@ def test_files_cover_a_small_range_of_each_dimension(spark, docs, clashing, tmp_
     assert spread[0] < 3.5 and spread[1] < 8 and spread[2] < 4000
 
 
+def test_long_values_with_one_beginning_are_told_apart(docs):
+    rows = [("w " * 20, "en", f"https://commoncrawl.example/{i % 10}") for i in range(400)]
+    places = {(r.curve, rows[r.doc_id][2]) for r in sharding.on_curve(docs(*rows)).collect()}
+    assert len({curve for curve, _ in places}) == len(places) == 10
+
+
+def brute(rows, shards):
+    """Shard and slot of each row: cells by the distinct values' places, then equal runs of the sorted rows."""
+    last, columns = 31, []
+    for values in zip(*[(source, lang, len((text or "").encode()) + 16) for text, lang, source in rows]):
+        if isinstance(values[0], int):
+            codes = list(values)
+        else:
+            ranks = {v: i for i, v in enumerate(sorted({v for v in values if v is not None}))}
+            codes = [ranks.get(v) for v in values]
+        known = sorted(c for c in codes if c is not None)
+        cuts = sorted({known[max(0, -(-len(known) * i // 32) - 1)] for i in range(1, 32)})
+        columns.append([last if c is None else sum(cut < c for cut in cuts) * last // len(cuts) for c in codes])
+    curve = sharding.hilbert_index([np.array(c) for c in columns], 5)
+    key = lambda i: (curve[i], zlib.crc32((rows[i][0] or "").encode()), len((rows[i][0] or "").encode()), i)
+    order = sorted(range(len(rows)), key=key)
+    out, slots = {}, {}
+    for rank, i in enumerate(order):
+        shard = rank * shards // len(rows)
+        out[i] = shard, slots.get(shard, 0)
+        slots[shard] = slots.get(shard, 0) + 1
+    return out
+
+
+def test_shards_equal_brute_force(docs, clashing):
+    rows, df = table(docs, clashing)
+    rows = [(text, lang or "en", source or "s0") for text, lang, source in rows]
+    got = {r.doc_id: (r.shard, r.slot) for r in sharding.sharded(docs(*rows), 7).collect()}
+    assert got == brute(rows, 7)
+
+
 def test_empty_table_and_ranks(spark, docs):
     assert sharding.sharded(docs().limit(0)).collect() == []
     df = spark.range(0, 1000, 1, 7).withColumn("x", (F.col("id") * 7919) % 1000)
