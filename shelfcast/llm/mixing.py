@@ -7,23 +7,25 @@ seeded hash until the rest of its target is reached.
 
 The draw needs no sort of a source: words are added up in bins of the hash, before the shuffle, and
 documents are taken in the hash's order as far as they fit. What is then left of a target is filled by
-later documents that are small enough, in further passes of the same kind.
+later documents that are small enough, in further passes of the same kind, until none fits: what is
+taken is what one walk in the hash's order takes that passes over each document that no longer fits.
 
 A null source is a source of its
 own, last in order; a null or empty text has size 0 and is never taken; a source without words has
-target 0. An empty table gives an empty result. Rows that repeat with the same id share one draw and
-are taken together only as far as the target goes. Extra columns are left out by `mixed`.
+target 0. An empty table gives an empty result. Rows of one id are told apart by their text, also rows
+without an id; rows of a source that are equal in both fit, or are passed over, as a whole. Extra columns
+are left out by `mixed`.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from shelfcast.llm.common import WORD, documents, ranked, settled
+from shelfcast.llm.common import WORD, documents, ranked, settled, stored
 
 # Weights by a source's place in order, repeating; words of the mix per word of the input; most repetitions.
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
-SEED, BINS, PASSES = "mix-1", 4096, 3
+SEED, BINS = "mix-1", 4096
 
 
 def words(text: str = "text") -> Column:
@@ -80,7 +82,7 @@ def drawn(rows: DataFrame, quotas: DataFrame) -> DataFrame:
     before = F.sum("words").over(Window.partitionBy("source").orderBy("bin")) - F.col("words")
     sums = small.groupBy("source", "bin").agg(F.sum("size").alias("words"))
     sums = sums.select(F.col("source").alias("_source"), F.col("bin").alias("_bin"), before.alias("before"))
-    within = Window.partitionBy("source", "bin").orderBy("draw", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy("source", "bin").orderBy("draw", F.asc_nulls_last("doc_id"), "mark").rowsBetween(Window.unboundedPreceding, 0)
     placed = small.join(sums, same("source", "_source") & (F.col("bin") == F.col("_bin")))
     reached = placed.withColumn("reached", F.col("before") + F.sum("size").over(within))
     return reached.filter("reached <= left").select(*rows.columns)
@@ -93,40 +95,51 @@ def mixed(
     most: int = MOST,
     seed: str = SEED,
 ) -> DataFrame:
-    """doc_id, source, size, source_size, target, and `times` each document is taken."""
-    rows = docs.select("doc_id", "source", words().alias("size"), draw(seed).alias("draw"))
-    rows = settled(rows.withColumn("bin", F.col("draw") % BINS))
+    """doc_id, source, size, source_size, target, and `times` each document is taken; `mark` tells texts apart."""
+    mark = F.coalesce(F.xxhash64("text"), F.lit(0))
+    rows = docs.select("doc_id", "source", words().alias("size"), draw(seed).alias("draw"), mark.alias("mark"))
+    rows = stored(rows.withColumn("bin", F.col("draw") % BINS))
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = water_filled(sizes, weights, share, most)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    targets = targets.withColumn("whole", whole)
+    targets = stored(targets.withColumn("whole", whole))
     quotas = targets.select("source", (F.col("target") - F.col("whole") * F.col("source_size")).alias("left"))
-    left, taken = rows, []
-    for _ in range(PASSES):
-        found = settled(drawn(left, quotas))
-        taken.append(found)
+    key = ["source", "doc_id", "mark"]
+    left = rows.groupBy(*key, "draw", "bin").agg(F.sum("size").alias("size")).filter("size > 0")
+    once = None
+    while True:
+        found = stored(drawn(left, quotas))
+        if found.isEmpty():
+            break
+        once = found.select(*key) if once is None else once.union(found.select(*key))
         used = found.groupBy(F.col("source").alias("_source")).agg(F.sum("size").alias("used"))
         quotas = quotas.join(used, same("source", "_source"), "left").select(
             "source", (F.col("left") - F.coalesce("used", F.lit(0))).alias("left")
         )
-        quotas = settled(quotas)
-        left = left.join(found.select("doc_id").distinct(), "doc_id", "left_anti")
-    once = taken[0]
-    for found in taken[1:]:
-        once = once.union(found)
-    once = once.select(F.col("doc_id").alias("_id"), F.lit(1).alias("more")).distinct()
-    out = rows.join(targets.withColumnRenamed("source", "_source"), same("source", "_source"))
+        quotas = stored(quotas.filter("left >= 1"))
+        # Only what is small enough can still fit, and what was drawn is gone.
+        taken = found.select(*[F.col(name).alias(f"_{name}") for name in key])
+        left = left.join(taken, same("source", "_source") & same("doc_id", "_doc_id") & same("mark", "_mark"), "left_anti")
+        room = quotas.select(F.col("source").alias("_source"), "left")
+        left = stored(left.join(room, same("source", "_source") & (F.col("size") <= F.col("left"))).select(*key, "draw", "bin", "size"))
+    out = rows.join(targets.withColumnRenamed("source", "_source"), same("source", "_source")).drop("_source")
+    if once is None:
+        out = out.withColumn("more", F.lit(None).cast("int"))
+    else:
+        once = once.select(*[F.col(name).alias(f"_{name}") for name in key], F.lit(1).alias("more"))
+        out = out.join(once, same("source", "_source") & same("doc_id", "_doc_id") & same("mark", "_mark"), "left")
     times = F.when(F.col("size") > 0, F.col("whole") + F.coalesce("more", F.lit(0))).otherwise(0)
-    return out.join(once, same("doc_id", "_id"), "left").select(
-        "doc_id", "source", "size", "source_size", "target", times.cast("long").alias("times")
-    )
+    return out.select("doc_id", "source", "size", "source_size", "target", times.cast("long").alias("times"), "mark")
 
 
 def repeated(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix with their columns, each as often as it is taken."""
-    times = mixed(docs, **options).filter("times > 0")
-    times = times.groupBy(F.col("doc_id").alias("_id")).agg(F.max("times").cast("int").alias("_times"))
-    taken = docs.join(times, F.col("doc_id").eqNullSafe(F.col("_id")))
+    times = mixed(docs, **options).filter("times > 0").groupBy(
+        F.col("source").alias("_source"), F.col("doc_id").alias("_doc_id"), F.col("mark").alias("_mark")
+    )
+    times = times.agg(F.max("times").cast("int").alias("_times"))
+    alike = same("source", "_source") & same("doc_id", "_doc_id") & (F.xxhash64("text") == F.col("_mark"))
+    taken = docs.join(times, alike)
     return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select(*docs.columns)
 
 

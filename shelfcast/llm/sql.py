@@ -95,19 +95,6 @@ BACKOFF = f"""
            round(coalesce(total / n, 0), 4) AS mean_log_score
     FROM documents LEFT JOIN three USING (doc_id)"""
 
-_MIX_PASSES = "".join(
-    f""",
-    small{n} AS (
-        SELECT r.*, q.left_words, sum(size) OVER (PARTITION BY r.source ORDER BY draw % 4096, draw, doc_id) AS reached
-        FROM rows r JOIN quotas{n} q ON q.source IS NOT DISTINCT FROM r.source
-        WHERE size > 0 AND size <= left_words AND doc_id NOT IN (SELECT doc_id FROM taken{n})),
-    taken{n + 1} AS (SELECT doc_id FROM taken{n} UNION ALL SELECT doc_id FROM small{n} WHERE reached <= left_words),
-    quotas{n + 1} AS (
-        SELECT q.source, left_words - coalesce((
-            SELECT max(reached) FROM small{n} s WHERE s.source IS NOT DISTINCT FROM q.source AND s.reached <= q.left_words), 0) AS left_words
-        FROM quotas{n} q)"""
-    for n in range(3)
-)
 MIXING = f"""
     WITH RECURSIVE rows AS (
         SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{WORD}')), 0) AS size,
@@ -128,11 +115,22 @@ MIXING = f"""
         SELECT source, source_size, least(weight * (SELECT max(level) FROM levels), cap) AS target FROM sources),
     plan AS (
         SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM targets),
-    quotas0 AS (SELECT source, target - whole * source_size AS left_words FROM plan),
-    taken0 AS (SELECT doc_id FROM rows WHERE false){_MIX_PASSES}
+    -- One walk over each source in the order of the draw: what does not fit is passed over.
+    queue AS (
+        SELECT r.doc_id, r.source, r.size, p.target - p.whole * p.source_size AS quota,
+               row_number() OVER (PARTITION BY r.source ORDER BY draw % 4096, draw, r.doc_id) AS i
+        FROM rows r JOIN plan p ON p.source IS NOT DISTINCT FROM r.source
+        WHERE r.size > 0 AND r.size <= p.target - p.whole * p.source_size),
+    walk(source, i, doc_id, took, words_left) AS (
+        SELECT source, i, doc_id, true, quota - size FROM queue WHERE i = 1
+        UNION ALL
+        SELECT q.source, q.i, q.doc_id, q.size <= w.words_left,
+               w.words_left - CASE WHEN q.size <= w.words_left THEN q.size ELSE 0 END
+        FROM walk w JOIN queue q ON q.source IS NOT DISTINCT FROM w.source AND q.i = w.i + 1)
     SELECT r.doc_id, r.size, p.source_size, p.target,
            CAST(r.size * (p.whole + CASE WHEN t.doc_id IS NULL THEN 0 ELSE 1 END) AS BIGINT) AS taken
-    FROM rows r JOIN plan p ON p.source IS NOT DISTINCT FROM r.source LEFT JOIN taken3 t ON t.doc_id = r.doc_id"""
+    FROM rows r JOIN plan p ON p.source IS NOT DISTINCT FROM r.source
+    LEFT JOIN (FROM walk WHERE took) t ON t.doc_id = r.doc_id"""
 
 NEAR = f"""
     WITH RECURSIVE split AS (

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -64,6 +65,34 @@ def test_documents_come_as_often_as_they_are_taken(docs, clashing):
     assert counts == {i: n for i, n in times.items() if n}
 
 
+def test_a_target_is_filled_until_nothing_fits(docs):
+    """Long documents drawn first leave room that only the short ones behind them fill."""
+    sizes = [10, 995, 10, 985, 10, 975, *[10] * 80, 300, 200, 50, 7, 3, 2]
+    rows = [(" ".join(["w"] * n), "en", "s") for n in sizes]
+    got = mixing.mixed(docs(*rows), share=0.3).collect()
+    order = sorted(got, key=lambda r: (draw_of(r.doc_id) % mixing.BINS, draw_of(r.doc_id), r.doc_id))
+    left = got[0].target
+    for row in order:  # one walk in the order of the draw
+        fits = row.size <= left
+        assert row.times == fits
+        left -= row.size * fits
+    assert all(row.size > left for row in got if not row.times)
+
+
+def draw_of(doc_id):
+    return int(hashlib.md5(f"{mixing.SEED}:{doc_id}".encode()).hexdigest()[:15], 16)
+
+
+def test_rows_of_one_id_are_told_apart_by_their_text(docs):
+    same = mixing.mixed(docs("a b c d e", "a b c d e", "a b c d e", ids=[4, 4, 4]), share=0.5).collect()
+    assert sum(r.size * r.times for r in same) == 0  # 15 words do not fit into 7.5
+    apart = mixing.mixed(docs("a b c d e", "f g h i j", "k l m n o", "p q r s t", ids=[4, 4, None, None]), share=0.6).collect()
+    assert sorted(r.times for r in apart) == [0, 0, 1, 1]
+    table = docs("a b", "c d", "c d", "e f", None, ids=[4, 4, None, None, None])
+    got = mixing.repeated(table, share=2.0).collect()
+    assert sorted((r.doc_id or -1, r.text) for r in got) == sorted([(4, "a b"), (4, "c d"), (-1, "c d"), (-1, "e f")] * 2)
+
+
 def test_small_tables(docs):
     assert mixing.mixed(docs().limit(0)).collect() == []
     got = mixing.mixed(docs(None, "")).collect()
