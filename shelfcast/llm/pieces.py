@@ -16,8 +16,9 @@ import heapq
 import re
 import struct
 from dataclasses import dataclass
-from itertools import accumulate, pairwise
+from itertools import pairwise
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.llm.common import documents, per_text
@@ -198,9 +199,13 @@ class Encoder:
         # Characters each id begins, and those its span covers: a byte covers its whole character.
         lead = [int(not 0x80 <= byte < 0xC0) for byte in range(256)]
         first = model.bytes_first
-        self.begins = {i: len(piece) for piece, i in model.ranks.items()}
-        self.covers = self.begins | dict.fromkeys(range(first, first + 256), 1)
-        self.begins |= {first + byte: n for byte, n in enumerate(lead)}
+        size = max(max(model.ranks.values(), default=0), first + 255, model.end) + 1
+        self.begins = np.zeros(size, np.int64)
+        for piece, i in model.ranks.items():
+            self.begins[i] = len(piece)
+        self.covers = self.begins.copy()
+        self.covers[first : first + 256] = 1
+        self.begins[first : first + 256] = lead
 
     def _chunk(self, chunk: str) -> tuple[int, ...]:
         ranks, first, ids = self.model.ranks, self.model.bytes_first, []
@@ -222,18 +227,32 @@ class Encoder:
             out += kept.get(chunk) or self._chunk(chunk)
         return out
 
-    def pieces(self, text: str) -> tuple[list[int], list[int], list[int]]:
-        """Ids with the end id, and the source bytes [start, end) of each."""
+    def pieces(self, text: str) -> tuple[list[int], np.ndarray]:
+        """Ids with the end id, and the source bytes [start, end) of each as rows."""
         marked, places = normalized(text, self.model)
         ids = self.ids(marked)
         if places is None:  # every character stands for itself; the mark in front has no source
-            places = list(accumulate(map(len, map(str.encode, text)), initial=0))
-            places = [0] * (self.model.prefix and bool(text)) + places
-        begun = [*accumulate(map(self.begins.__getitem__, ids))]
-        starts = [places[n - self.covers[i]] for n, i in zip(begun, ids, strict=True)]
-        ends = [places[n] for n in begun]
-        size = len(text.encode())
-        return [*ids, self.model.end], [*starts, size], [*ends, size]
+            places = _byte_places(text, self.model.prefix and bool(text))
+        else:
+            places = np.array(places or [0], np.int64)
+        index = np.array(ids, np.int64)
+        begun = np.cumsum(self.begins[index])
+        spans = np.empty((len(ids) + 1, 2), np.int64)
+        spans[:-1, 0] = places[begun - self.covers[index]]
+        spans[:-1, 1] = places[begun]
+        spans[-1] = places[-1] if places[-1] or not text else len(text.encode())
+        return [*ids, self.model.end], spans
+
+
+def _byte_places(text: str, prefixed: bool) -> np.ndarray:
+    """The byte where each character begins, and the end; twice 0 in front where a mark has been put there."""
+    if text.isascii():
+        places = np.arange(len(text) + 1)
+    else:
+        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        width = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
+        places = np.concatenate([[0], np.cumsum(width)])
+    return np.concatenate([[0], places]) if prefixed else places
 
 
 def encoded(docs: DataFrame, model_path: str) -> DataFrame:
@@ -244,8 +263,12 @@ def encoded(docs: DataFrame, model_path: str) -> DataFrame:
         encoder = Encoder(model)
         for batch in batches:
             found = [encoder.pieces(text or "") for text in batch["text"]]
-            ids, starts, ends = zip(*found, strict=True) if found else ((), (), ())
-            yield {"doc_id": batch["doc_id"], "ids": ids, "starts": starts, "ends": ends}
+            yield {
+                "doc_id": batch["doc_id"],
+                "ids": [ids for ids, _ in found],
+                "starts": [spans[:, 0].astype(np.int32) for _, spans in found],
+                "ends": [spans[:, 1].astype(np.int32) for _, spans in found],
+            }
 
     schema = "doc_id bigint, ids array<int>, starts array<int>, ends array<int>"
     return per_text(docs, ["doc_id", "text"], rows_of, schema)
@@ -266,7 +289,10 @@ def tokens(docs: DataFrame, model_path: str) -> DataFrame:
 
 
 def digests(docs: DataFrame, model_path: str) -> DataFrame:
-    """Number and digest of the ids of each text, and the digest of the text decoded from them."""
+    """Number and digest of the ids of each text, the digest of the text decoded from them, and of their spans.
+
+    `spans_sha256` is of start and end of every id as little-endian 64-bit numbers.
+    """
     blob = open(model_path, "rb").read()
     model = Model.of(blob)
 
@@ -277,18 +303,19 @@ def digests(docs: DataFrame, model_path: str) -> DataFrame:
 
         encoder = Encoder(model)
         decoder = sentencepiece.SentencePieceProcessor(model_proto=blob)
-        written = {i: str(i) for i in [*encoder.covers, model.end]}
+        written = list(map(str, range(len(encoder.covers))))
         sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
         for batch in batches:
-            out = {"doc_id": batch["doc_id"], "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
+            out = {"doc_id": batch["doc_id"], "n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "spans_sha256": []}
             for text in batch["text"]:
-                ids = [*encoder.ids(normalized(text or "", model)[0]), model.end]
+                ids, spans = encoder.pieces(text or "")
                 out["n_tokens"].append(len(ids))
                 out["ids_sha256"].append(sha(" ".join(map(written.__getitem__, ids))))
                 out["decoded_sha256"].append(sha(decoder.decode(ids)))
+                out["spans_sha256"].append(hashlib.sha256(spans.astype("<i8").tobytes()).hexdigest())
             yield out
 
-    schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, spans_sha256 string"
     return per_text(docs, ["doc_id", "text"], rows_of, schema)
 
 

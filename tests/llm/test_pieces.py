@@ -31,6 +31,23 @@ def test_ids_and_decoded_texts_equal_the_library(docs, clashing, library):
         ids = library.encode(given[row.doc_id] or "", add_eos=True)
         assert (row.n_tokens, row.ids_sha256) == (len(ids), sha(" ".join(map(str, ids))))
         assert row.decoded_sha256 == sha(library.decode(ids))
+    spans = {row.doc_id: list(zip(row.starts, row.ends, strict=True)) for row in pieces.encoded(docs(*given), MODEL).collect()}
+    for row in rows:
+        packed = b"".join(struct.pack("<qq", *span) for span in spans[row.doc_id])
+        assert row.spans_sha256 == hashlib.sha256(packed).hexdigest()
+
+
+def test_spans_equal_those_of_the_library(docs, library):
+    """The library's own byte offsets, for pieces that are no single bytes of a character."""
+    given = [text for text in texts() if text]
+    for row in pieces.encoded(docs(*given), MODEL).collect():
+        text = given[row.doc_id]
+        want = [(p.id, p.begin, p.end) for p in library.encode_as_proto(text).pieces]
+        got = list(zip(row.ids, row.starts, row.ends, strict=True))[:-1]
+        assert [i for i, *_ in got] == [i for i, *_ in want]
+        for (i, start, end), (_, begin, stop) in zip(got, want, strict=True):
+            if not library.is_byte(i):
+                assert (start, end) == (begin, stop)
 
 
 def test_spans_cover_the_source(docs, library):
