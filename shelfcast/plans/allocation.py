@@ -10,6 +10,7 @@ from shelfcast.params import Params
 from shelfcast.plans import flows
 from shelfcast.plans.extracts import Sources
 from shelfcast.plans.impact import oos_labels, ref_summary, revenue_impact, run_summary
+from shelfcast.plans.orders import Keep, staged
 from shelfcast.plans.recommend import item_attributes, lead_times, recommendations
 from shelfcast.plans.waterfall import flow_rows, waterfall, waterfall_of, weekly_flow
 
@@ -45,6 +46,13 @@ def allocation(sources: Sources, params: Params) -> DataFrame:
     return allocation_of(ref_summary(waterfall(sources, params), params), sources, params)
 
 
+def staged_allocation(sources: Sources, params: Params, keep: Keep) -> DataFrame:
+    """The allocation from written newest orders and weekly flows, each read back by what follows."""
+    sources = staged(sources, params, keep)
+    weekly = keep(weekly_flow(flow_rows(sources, params), params), "weekly_flow")
+    return allocation_of(ref_summary(waterfall_of(weekly, params), params), sources, params)
+
+
 def plan_allocation(
     sources: Sources, params: Params, weekly: DataFrame | None = None
 ) -> dict[str, DataFrame]:

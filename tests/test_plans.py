@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from shelfcast import sinks
 from shelfcast.params import Params
 from shelfcast.plans import extracts, flows
-from shelfcast.plans.allocation import ALLOCATION, allocation, plan_allocation
+from shelfcast.plans.allocation import ALLOCATION, allocation, plan_allocation, staged_allocation
 from shelfcast.plans.impact import days_of_cover, oos_labels, ref_summary, revenue_impact, run_summary
 from shelfcast.plans.orders import staged
 from shelfcast.plans.recommend import lead_times, recommendations
@@ -739,6 +739,8 @@ def test_allocation_reads_each_source_at_most_once_or_twice(spark, params):
     # Subqueries are printed with every filter that uses them; a scan's columns tell it apart.
     scans = {line.split("FileScan")[1].split("]")[0] for line in plan.toString().splitlines() if "lineitem.parquet" in line}
     assert len(scans) <= 8
+    once = staged_allocation(tables, params, sinks.keep_shared)
+    assert once._jdf.queryExecution().executedPlan().toString().count("lineitem.parquet") <= 3
 
 
 def test_reports_are_written_in_order_file_by_file(spark, source, sources, params, tmp_path):
