@@ -694,17 +694,18 @@ def test_orders_in_stages_of_no_class_are_left_out(source, sources, params):
 def order_tables(source, sources):
     """Orders and shipments of several snapshots, undated ones, ties, internal vendors and unknown keys among them."""
     rng, days = random.Random(3), [date(1998, 2, 1), date(1998, 2, 8), date(1998, 2, 15)]
+    documents = ["D1", "D2", "D3", None]
     lines = [
         po(
-            document_number=rng.choice(["D1", "D2", "D3", None]), line_id=rng.choice(["1", "2", None]), sku=rng.choice(["s", "t", "u"]),
-            po_line_key=rng.choice(["K", "J"]), snapshot_date=rng.choice([*days, *days, None]), vendor=rng.choice(["V", "W", None]),
+            document_number=documents[n % 4], line_id=rng.choice(["1", "2", None]), sku=rng.choice(["s", "t", "u"]),
+            po_line_key=rng.choice(["K", "J"]), snapshot_date=rng.choice([*days, None] if n % 4 == 2 else days), vendor=rng.choice(["V", "W", None]),
             vendor_category=rng.choice(["Manufacturers", "Manufacturers", "Intercompany", None]),
             final_status=rng.choice(["Open", "Open", "Closed", None]), memo=rng.choice([None, "a B2B order"]),
             ordered_at=rng.choice(["1998-01-01", "1998-01-02", "n/a", None]), quantity=rng.choice([100, 0, 200]),
         )
-        for _ in range(150)
+        for n in range(240)
     ]
-    shipped = [shipment_line(shipment_number=rng.choice("STU"), po=rng.choice(["D1", "D2"]), po_line_key=rng.choice("KJ"), sku=rng.choice("st")) for _ in range(30)]
+    shipped = [shipment_line(shipment_number=rng.choice("STU"), po=rng.choice(["D1", "D2"]), po_line_key=rng.choice("KJ"), sku=rng.choice("st")) for _ in range(60)]
     headers = [{"shipment_number": rng.choice("STV"), "market_place": "US", "snapshot_date": rng.choice(days)} for _ in range(12)]
     status = [{"document_number": "D1", "line_id": rng.choice("12"), "current_status": f"stage {n}"} for n in range(4)]
     mapped = [{"sku": sku} for sku in "stu"]
