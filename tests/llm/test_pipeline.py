@@ -52,5 +52,5 @@ def test_whole_run(spark, sf_dir):
 def test_every_operator_is_registered_once():
     names = [name for name in entry.queries() if name.startswith("op")]
     numbers = sorted(int(name[2:].split("_")[0]) for name in names if name[2].isdigit())
-    assert numbers == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in entry.queries()
     assert set(corpus_pipeline.__dict__) >= {"STAGES", "ORACLE_SQL", "run"}
