@@ -13,7 +13,7 @@ from shelfcast.plans.allocation import allocation_of
 from shelfcast.plans.extracts import EXTRACTS, Sources, report
 from shelfcast.plans.impact import MEASURES, ref_summary, run_totals
 from shelfcast.plans.orders import staged
-from shelfcast.plans.waterfall import flow_rows, left_out_of, waterfall_of, weekly_flow, with_oos_marks
+from shelfcast.plans.waterfall import flow_rows, left_out_of, waterfall_of, weekly_flow
 from shelfcast.session import with_settings
 from shelfcast.sinks import write_debug, write_result, write_stage
 from shelfcast.sources.dimensions import READERS, read_rules
@@ -37,7 +37,7 @@ def run(sources: Sources, params: Params, out: str, run_at: datetime, debug: boo
     sources = staged(sources, params, lambda df, name: write_stage(df, out, name, day))
     weekly = weekly_flow(flow_rows(sources, params), params)
     weekly = write_stage(weekly, out, "weekly_flow", day, by="ref", spread=True)
-    weeks = with_oos_marks(waterfall_of(weekly, params))
+    weeks = waterfall_of(weekly, params, marked=True)
     weeks = write_stage(weeks, out, "sales_missed", day, by="ref")
     totals = Observation("run_totals")
     summary = ref_summary(weeks, params, ["sales_missed"]).observe(totals, *run_totals())

@@ -12,7 +12,7 @@ from shelfcast.plans.extracts import Sources
 from shelfcast.plans.impact import oos_labels, ref_summary, revenue_impact, run_summary
 from shelfcast.plans.orders import Keep, staged
 from shelfcast.plans.recommend import item_attributes, lead_times, recommendations
-from shelfcast.plans.waterfall import flow_rows, waterfall, waterfall_of, weekly_flow
+from shelfcast.plans.waterfall import filled_weeks, filled_weeks_of, flow_rows, waterfall_of, weekly_flow
 
 ALLOCATION = [
     "ref", "item", "market", "oos_week_first", "oos_week_last_onset", "oos_week_final",
@@ -43,14 +43,14 @@ def allocation_of(
 
 
 def allocation(sources: Sources, params: Params) -> DataFrame:
-    return allocation_of(ref_summary(waterfall(sources, params), params), sources, params)
+    return allocation_of(ref_summary(filled_weeks(sources, params), params), sources, params)
 
 
 def staged_allocation(sources: Sources, params: Params, keep: Keep) -> DataFrame:
     """The allocation from written newest orders and weekly flows, each read back by what follows."""
     sources = staged(sources, params, keep)
     weekly = keep(weekly_flow(flow_rows(sources, params), params), "weekly_flow")
-    return allocation_of(ref_summary(waterfall_of(weekly, params), params), sources, params)
+    return allocation_of(ref_summary(filled_weeks_of(weekly, params), params), sources, params)
 
 
 def plan_allocation(
@@ -62,10 +62,9 @@ def plan_allocation(
     """
     if weekly is None:
         weekly = weekly_flow(flow_rows(sources, params), params)
-    weeks = waterfall_of(weekly, params)
-    summary = ref_summary(weeks, params)
+    summary = ref_summary(filled_weeks_of(weekly, params), params)
     return {
         "allocation": allocation_of(summary, sources, params),
-        "sales_missed": weeks,
+        "sales_missed": waterfall_of(weekly, params),
         "run_summary": run_summary(summary),
     }

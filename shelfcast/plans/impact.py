@@ -39,7 +39,8 @@ def ref_summary(weeks: DataFrame, params: Params, measures: Iterable[str] = ())
     """One row per ref out of its planning weeks, with a column per planned week for each of `measures`.
 
     The weeks arrive by ref, so neither the windows nor the totals shuffle them again. A ref has at
-    most `horizon` weeks, so gathering them is bounded.
+    most `horizon` weeks, so gathering them is bounded. Marked weeks may lack empty ones, but with `measures`
+    all must be there.
     """
     missed, demand = F.col("sales_missed"), F.col("demand")
     marked = weeks if "onset" in weeks.columns else with_oos_marks(weeks)

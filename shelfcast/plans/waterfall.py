@@ -101,40 +101,41 @@ def weekly_flow(contributions: DataFrame, params: Params) -> DataFrame:
 
 
 def dense_weeks(weekly: DataFrame, params: Params) -> DataFrame:
-    """One row per ref and planning week, quantities as whole numbers of the smallest unit kept.
+    """The planning weeks of every ref, quantities as whole numbers of the smallest unit kept.
 
-    A ref has at most `horizon` filled weeks, so gathering them is bounded. The rows stay on the
-    partition of their ref, where the windows of the waterfall then run without another shuffle.
+    Empty weeks are not rows: a row stands for its week and for the empty ones up to the ref's next row.
+    The first week always is a row. A ref has at most `horizon` filled weeks, so gathering them is
+    bounded. The rows stay on the partition of their ref, where the windows of the waterfall then run
+    without another shuffle, and hold no more than that shuffle brought.
     """
     unit = 10 ** weekly.schema["demand"].dataType.scale
-    filled = F.struct("week_idx", F.struct(*[(F.coalesce(n, F.lit(0)) * unit).cast("long").alias(n) for n in FLOWS]))
+    none = F.lit(0).cast("long")
+    filled = F.struct("week_idx", *[(F.coalesce(n, F.lit(0)) * unit).cast("long").alias(n) for n in FLOWS])
     refs = weekly.filter("ref IS NOT NULL").groupBy("ref").agg(
         F.min("market_chars").alias("market_chars"),
         (F.sum("opening") * unit).cast("long").alias("opening"),
-        F.map_from_entries(F.collect_list(F.when(F.col("week_idx").isNotNull(), filled))).alias("weeks"),
+        F.collect_list(F.when(F.col("week_idx") < params.horizon, filled)).alias("weeks"),
     )
     if params.missing_stock == "zero":
-        refs = refs.withColumn("opening", F.coalesce("opening", F.lit(0).cast("long")))
-    weeks = F.explode(F.sequence(F.lit(0), F.lit(params.horizon - 1)))
-    return (
-        refs.withColumn("week_idx", weeks)
-        .withColumn("week", F.col("weeks")[F.col("week_idx")])
-        .select(
-            "ref", "market_chars", "opening", "week_idx",
-            *[F.coalesce(f"week.{n}", F.lit(0).cast("long")).alias(n) for n in FLOWS],
-        )
-    )
+        refs = refs.withColumn("opening", F.coalesce("opening", none))
+    first = F.array(F.struct(F.lit(0).alias("week_idx"), *[none.alias(n) for n in FLOWS]))
+    has_first = F.exists("weeks", lambda week: week.week_idx == 0)
+    weeks = F.when(has_first, F.col("weeks")).otherwise(F.concat("weeks", first))
+    return refs.withColumn("week", F.explode(weeks)).select("ref", "market_chars", "opening", "week.*")
 
 
-def run_waterfall(dense: DataFrame, params: Params) -> DataFrame:
-    """Start, end and lost sales of every ref and week.
+def run_weeks(dense: DataFrame, params: Params) -> DataFrame:
+    """Start, end and lost sales of every row of `dense_weeks`, and where the empty weeks after it end.
 
     Stock ends a week at start + supply - demand, but never below zero. The running total of all
     net flows gives the same once the deepest shortfall so far is added back, which turns the
-    week-by-week recurrence into running windows over one sort.
+    week-by-week recurrence into running windows over one sort. An empty week changes nothing, so the
+    windows pass over it.
 
     Purchase orders do not add to the stock of the first week, and unsigned ones never cover lost
     sales of the week they arrive in.
+
+    `sets_in` marks lost sales that set in anew: after a week without any, against a demand above one unit.
     """
     week = Window.partitionBy("ref").orderBy("week_idx")
     so_far = week.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -146,6 +147,8 @@ def run_waterfall(dense: DataFrame, params: Params) -> DataFrame:
     missed = floor_at_zero(
         F.col("demand") - F.col("starting") - F.col("po_signed") - F.col("inbound")
     )
+    # Nothing is lost in an empty week but the first, which is a row.
+    before = F.when(F.lag("week_idx").over(week) < F.col("week_idx") - 1, 0).otherwise(F.lag("missed").over(week))
     unit = float(10**params.quantity_decimals)
     return (
         dense.withColumn("running", running)
@@ -158,47 +161,85 @@ def run_waterfall(dense: DataFrame, params: Params) -> DataFrame:
             (F.col("starting") / unit).alias("inventory_start"),
             (F.col("ending") / unit).alias("inventory_end"),
             (F.col("missed") / unit).alias("sales_missed"),
+            F.lead("week_idx", 1, params.horizon).over(week).alias("until"),
+            ((before == 0) & (F.col("missed") > 0) & (F.col("demand") / unit > 1)).alias("sets_in"),
         )
     )
 
 
+def every_week(runs: DataFrame) -> DataFrame:
+    """Rows of `run_weeks` with the empty weeks after each, in which stock stays as it ended."""
+    own = F.col("week_idx") == F.col("run_from")
+    nothing = F.when(F.col("inventory_end").isNotNull(), F.lit(0.0))
+    weeks = F.sequence("week_idx", F.col("until") - 1)
+    return runs.withColumn("run_from", F.col("week_idx")).withColumn("week_idx", F.explode(weeks)).select(
+        "ref", "market_chars", "week_idx",
+        *[F.when(own, F.col(name)).otherwise(0.0).alias(name) for name in FLOWS],
+        F.when(own, F.col("inventory_start")).otherwise(F.col("inventory_end")).alias("inventory_start"),
+        "inventory_end",
+        F.when(own, F.col("sales_missed")).otherwise(nothing).alias("sales_missed"),
+        (own & F.col("sets_in")).alias("sets_in"),
+    )
+
+
+def run_waterfall(dense: DataFrame, params: Params) -> DataFrame:
+    """Start, end and lost sales of every ref and week."""
+    return every_week(run_weeks(dense, params)).drop("sets_in")
+
+
 def with_dates(weeks: DataFrame, params: Params) -> DataFrame:
     calendar = week_calendar(weeks.sparkSession, params)
     # The calendar has at most 157 rows.
     return weeks.join(F.broadcast(calendar), "week_idx")
 
 
-def waterfall_of(weekly: DataFrame, params: Params) -> DataFrame:
-    """The planning weeks of every ref, out of its weekly flows."""
+def _runs_of(weekly: DataFrame, params: Params) -> DataFrame:
     kept = replace(params, quantity_decimals=weekly.schema["demand"].dataType.scale)
-    return with_dates(run_waterfall(dense_weeks(weekly, kept), kept), params)
+    return run_weeks(dense_weeks(weekly, kept), kept)
+
+
+def waterfall_of(weekly: DataFrame, params: Params, marked: bool = False) -> DataFrame:
+    """The planning weeks of every ref, out of its weekly flows; with `marked`, as `with_oos_marks` has them."""
+    weeks = with_dates(every_week(_runs_of(weekly, params)), params)
+    return with_oos_marks(weeks) if marked else weeks.drop("sets_in")
+
+
+def filled_weeks_of(weekly: DataFrame, params: Params) -> DataFrame:
+    """The marked weeks of every ref without its empty ones, which add nothing to totals and lost sales."""
+    return with_oos_marks(with_dates(_runs_of(weekly, params).drop("until"), params))
 
 
 def waterfall(sources: Sources, params: Params) -> DataFrame:
     return waterfall_of(weekly_flow(flow_rows(sources, params), params), params)
 
 
+def filled_weeks(sources: Sources, params: Params) -> DataFrame:
+    return filled_weeks_of(weekly_flow(flow_rows(sources, params), params), params)
+
+
 def with_oos_marks(weeks: DataFrame) -> DataFrame:
     """Adds `missing_from`, the week if it has lost sales, and `onset`, the week if they set in anew.
 
-    Lost sales set in anew after a week without any, against a demand above one unit.
+    Lost sales set in anew after a week without any, against a demand above one unit. Where the rows do
+    not say so themselves, all planning weeks of a ref must be there.
     """
-    missed = F.col("sales_missed")
-    before = F.lag(missed).over(Window.partitionBy("ref").orderBy("week_idx"))
-    sets_in = (before == 0) & (missed > 0) & (F.col("demand") > 1)
+    missed, sets_in = F.col("sales_missed"), F.col("sets_in")
+    if "sets_in" not in weeks.columns:
+        before = F.lag(missed).over(Window.partitionBy("ref").orderBy("week_idx"))
+        sets_in = (before == 0) & (missed > 0) & (F.col("demand") > 1)
     return weeks.withColumns(
         {
             "missing_from": F.when(missed > 0, F.col("week_start")),
             "onset": F.when(sets_in, F.col("week_start")),
         }
-    )
+    ).drop("sets_in")
 
 
 def oos_weeks(weeks: DataFrame) -> DataFrame:
     """Per ref the first week out of stock, the last onset, and the one that counts, as Mondays."""
+    marked = weeks if "onset" in weeks.columns else with_oos_marks(weeks)
     return (
-        with_oos_marks(weeks)
-        .groupBy("ref")
+        marked.groupBy("ref")
         .agg(F.min("missing_from").alias("oos_first"), F.max("onset").alias("oos_last_onset"))
         .withColumn("oos_final", F.coalesce("oos_last_onset", "oos_first"))
     )

@@ -14,7 +14,7 @@ from shelfcast.plans.impact import days_of_cover, oos_labels, ref_summary, reven
 from shelfcast.plans.orders import staged
 from shelfcast.plans.recommend import lead_times, recommendations
 from shelfcast.plans.waterfall import (
-    FLOWS, dense_weeks, flow_rows, left_out, left_out_of, oos_weeks, run_waterfall, waterfall_of, weekly_flow, with_dates,
+    FLOWS, dense_weeks, filled_weeks_of, flow_rows, left_out, left_out_of, oos_weeks, run_waterfall, waterfall_of, weekly_flow, with_dates,
     with_oos_marks,
 )
 from shelfcast.sources.testdata import TestdataSources
@@ -773,3 +773,23 @@ def test_vendor_rows_that_repeat_are_removed(source, sources, params):
     rows = [{"vendor_id": v, "vendor_name": n} for v, n in (("V1", "b"), ("V1", "a"), ("V2", None), ("V2", "c"))]
     got = flows.dedupe_vendor(sources(vendor_master=source("vendor_master", *rows)), params).collect()
     assert sorted((r.vendor_id, r.vendor_name) for r in got) == [("V1", "a"), ("V2", "c")]
+
+
+@pytest.mark.parametrize("missing_stock", ["zero", "null"])
+def test_windows_see_filled_weeks_alone(spark, params, missing_stock):
+    params = replace(params, missing_stock=missing_stock)
+    rng = random.Random(11)
+    rows = [stock("short", -3.0), stock("idle", 2.0), flow("late", 103, 9.0), flow("outside", 500, 1.0)]
+    for n in range(40):
+        rows += [stock(f"r{n}", float(rng.randint(-5, 30)))] if n % 4 else []
+        rows += [flow(f"r{n}", t, *[float(rng.randint(0, 9)) for _ in range(4)]) for t in rng.sample(range(104), rng.randint(1, 30))]
+    weekly = weekly_flow(spark.createDataFrame(rows, FLOW_SCHEMA), params)
+    weeks, filled = waterfall_of(weekly, params), filled_weeks_of(weekly, params)
+    refs = weekly.select("ref").distinct().count()
+    assert dense_weeks(weekly, params).count() <= len(rows) + refs and weeks.count() == 104 * refs
+    marked = with_oos_marks(weeks)  # by a window over all weeks
+    assert sorted(map(repr, waterfall_of(weekly, params, marked=True).select(marked.columns).collect())) == sorted(map(repr, marked.collect()))
+    assert sorted(map(repr, ref_summary(filled, params).collect())) == sorted(map(repr, ref_summary(marked, params).collect()))
+    assert sorted(map(repr, oos_weeks(filled).collect())) == sorted(map(repr, oos_weeks(weeks).collect()))
+    wide = [sinks.wide_weekly(kind, params, ["sales_missed"]).collect() for kind in (filled, weeks)]
+    assert sorted(map(repr, wide[0])) == sorted(map(repr, wide[1]))
