@@ -280,16 +280,17 @@ def product_master_latest(sources: Sources, params: Params) -> DataFrame:
 
 
 def with_shipped_units(orders: DataFrame, sources: Sources, params: Params) -> DataFrame:
-    """Adds `shipped`, the units expected on shipments of each purchase order line."""
+    """Adds `shipped`, the units expected on shipments of each purchase order line; NULL for none."""
     keys = ["document_number", "sku", "po_line_key"]
     lines = sources["shipment_lines"].withColumnRenamed("po", "document_number")
     if params.raw_join:
         headers = sources["shipment_headers"].select("shipment_number")
         shipped = lines.join(headers, "shipment_number").select(*keys, F.col("quantity_expected").alias("shipped"))
     else:
-        # A shipment with a header has a newest one.
+        # A shipment with a header has a newest one. Lines that expect nothing add nothing, and stay behind.
         headers = sources.get("newest_shipments", sources["shipment_headers"]).select("shipment_number")
-        shipped = lines.join(headers, "shipment_number", "left_semi").groupBy(*keys)
+        expecting = lines.filter("quantity_expected <> 0")
+        shipped = expecting.join(headers, "shipment_number", "left_semi").groupBy(*keys)
         shipped = shipped.agg(F.sum("quantity_expected").alias("shipped"))
     return orders.join(shipped, keys, "left")
 
