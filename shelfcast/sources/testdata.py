@@ -101,8 +101,13 @@ def event_plan(s: TestdataSources) -> DataFrame:
     )
 
 
+def _parts(s: TestdataSources) -> DataFrame:
+    """Parts dealt to many tasks: they fill few bytes of a file, and each becomes up to twelve rows."""
+    return s.given("part").repartition("p_partkey")
+
+
 def product_master(s: TestdataSources) -> DataFrame:
-    part = s.given("part").selectExpr(
+    part = _parts(s).selectExpr(
         "*",
         "explode(sequence(0, p_size % 3)) AS age",
     ).selectExpr("*", "explode(CASE WHEN p_partkey % 11 = 0 THEN array(0, 1, 1) ELSE array(0) END) AS copy")
@@ -313,7 +318,7 @@ def avg_price_l30(s: TestdataSources) -> DataFrame:
 
 
 def price_benchmarks(s: TestdataSources) -> DataFrame:
-    rows = s.given("part").selectExpr(
+    rows = _parts(s).selectExpr(
         "*",
         "explode(array('US', 'UK', 'EU', 'Pan-EU')) AS market",
     ).selectExpr("*", "explode(CASE WHEN p_partkey % 6 = 2 THEN array(0, 0, 1) ELSE array(0, 1) END) AS age")
@@ -327,7 +332,7 @@ def price_benchmarks(s: TestdataSources) -> DataFrame:
 
 
 def product_catalog(s: TestdataSources) -> DataFrame:
-    rows = s.given("part").selectExpr(
+    rows = _parts(s).selectExpr(
         "*",
         "explode(CASE p_partkey % 3 WHEN 0 THEN array('US', 'Pan-EU', 'EU') WHEN 1 THEN array('US', 'US', 'UK') ELSE array('Pan-EU') END) AS market",
     )
