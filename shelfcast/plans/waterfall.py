@@ -12,6 +12,7 @@ from shelfcast.functions.weeks import week_calendar
 from shelfcast.params import Params
 from shelfcast.plans import flows
 from shelfcast.plans.extracts import Sources
+from shelfcast.session import shuffle_partitions
 
 FLOWS = ["demand", "inbound", "po_signed", "po_unsigned"]
 MEASURES = [*FLOWS, "opening", "po_other"]
@@ -209,12 +210,17 @@ def filled_weeks_of(weekly: DataFrame, params: Params) -> DataFrame:
     return with_oos_marks(with_dates(_runs_of(weekly, params).drop("until"), params))
 
 
+def by_ref(weekly: DataFrame) -> DataFrame:
+    """Weekly flows on the partition of their ref, over all shuffle partitions: a ref's weeks grow there."""
+    return weekly.filter("ref IS NOT NULL").repartition(shuffle_partitions(weekly), "ref")
+
+
 def waterfall(sources: Sources, params: Params) -> DataFrame:
-    return waterfall_of(weekly_flow(flow_rows(sources, params), params), params)
+    return waterfall_of(by_ref(weekly_flow(flow_rows(sources, params), params)), params)
 
 
 def filled_weeks(sources: Sources, params: Params) -> DataFrame:
-    return filled_weeks_of(weekly_flow(flow_rows(sources, params), params), params)
+    return filled_weeks_of(by_ref(weekly_flow(flow_rows(sources, params), params)), params)
 
 
 def with_oos_marks(weeks: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -23,3 +23,8 @@ def with_settings(builder: SparkSession.Builder) -> SparkSession.Builder:
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     return builder
+
+
+def shuffle_partitions(df: DataFrame) -> int:
+    """Partitions of a shuffle as the session has them, before adaptive execution joins small ones."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
