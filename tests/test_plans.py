@@ -14,7 +14,7 @@ from shelfcast.plans.impact import days_of_cover, oos_labels, ref_summary, reven
 from shelfcast.plans.orders import staged
 from shelfcast.plans.recommend import lead_times, recommendations
 from shelfcast.plans.waterfall import (
-    FLOWS, dense_weeks, filled_weeks_of, flow_rows, left_out, left_out_of, oos_weeks, run_waterfall, waterfall_of, weekly_flow, with_dates,
+    FLOWS, dense_weeks, filled_weeks, filled_weeks_of, flow_rows, left_out, left_out_of, oos_weeks, run_waterfall, waterfall_of, weekly_flow, with_dates,
     with_oos_marks,
 )
 from shelfcast.sources.testdata import TestdataSources
@@ -793,3 +793,40 @@ def test_windows_see_filled_weeks_alone(spark, params, missing_stock):
     assert sorted(map(repr, oos_weeks(filled).collect())) == sorted(map(repr, oos_weeks(weeks).collect()))
     wide = [sinks.wide_weekly(kind, params, ["sales_missed"]).collect() for kind in (filled, weeks)]
     assert sorted(map(repr, wide[0])) == sorted(map(repr, wide[1]))
+
+
+def test_lines_that_expect_nothing_stay_out_of_the_shuffle(source, sources, params):
+    units = [30, 0, None, 5]
+    lines = [shipment_line(quantity_expected=n, po_line_key=key) for n, key in zip(units, "KKKL", strict=True)]
+    tables = sources(
+        po_lines=source("po_lines", po(), po(line_id="2", po_line_key="M")),
+        shipment_lines=source("shipment_lines", *lines), shipment_headers=source("shipment_headers", header()),
+    )
+    orders = extracts.open_orders(tables, params)
+    assert sorted((r.line_id, r.shipped, r.leftover_quantity) for r in orders.fillna(0, ["shipped"]).collect()) == [("1", 30, 70), ("2", 0, 80)]
+    assert "NOT (quantity_expected" in orders._jdf.queryExecution().analyzed().toString()
+
+
+def test_weeks_grow_over_all_shuffle_partitions(spark, source, sources, params):
+    monthly = source("sales_plan", plan_row()).selectExpr("sku AS ref", "date", "quantity")
+    for rows in (flows.spread_months(monthly, ["ref"]), filled_weeks(sources(), params)):
+        assert "REPARTITION_BY_NUM" in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_allocation_in_two_plans(source, sources, params):
+    tables, kept = sources(sales_plan=source("sales_plan", plan_row())), []
+
+    def keep(df, name):
+        kept.append(name)
+        return sinks.keep_shared(df, name)
+
+    once, twice = allocation(tables, params), allocation(tables, params, keep)
+    assert kept == ["weekly_flow"] and "sales_plan" not in twice._jdf.queryExecution().optimizedPlan().toString()
+    assert once.count() > 0 and sorted(map(repr, twice.collect())) == sorted(map(repr, once.collect()))
+
+
+def test_parts_are_dealt_out_before_they_become_many_rows(spark):
+    tables = TestdataSources(spark, "/root/testdata/sf0.001")
+    for name in ("price_benchmarks", "product_master", "product_catalog"):
+        plan = tables[name]._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("Generate") < plan.index("REPARTITION_BY_COL"), name
