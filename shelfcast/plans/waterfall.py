@@ -105,24 +105,29 @@ def dense_weeks(weekly: DataFrame, params: Params) -> DataFrame:
     """The planning weeks of every ref, quantities as whole numbers of the smallest unit kept.
 
     Empty weeks are not rows: a row stands for its week and for the empty ones up to the ref's next row.
-    The first week always is a row. A ref has at most `horizon` filled weeks, so gathering them is
-    bounded. The rows stay on the partition of their ref, where the windows of the waterfall then run
-    without another shuffle, and hold no more than that shuffle brought.
+    The first week always is a row: where a ref has none, its first row brings one along. The rows stay on
+    the partition of their ref, where the windows of the waterfall then run without another shuffle, and
+    nothing of a ref is gathered in a list.
     """
     unit = 10 ** weekly.schema["demand"].dataType.scale
-    none = F.lit(0).cast("long")
-    filled = F.struct("week_idx", *[(F.coalesce(n, F.lit(0)) * unit).cast("long").alias(n) for n in FLOWS])
-    refs = weekly.filter("ref IS NOT NULL").groupBy("ref").agg(
-        F.min("market_chars").alias("market_chars"),
-        (F.sum("opening") * unit).cast("long").alias("opening"),
-        F.collect_list(F.when(F.col("week_idx") < params.horizon, filled)).alias("weeks"),
-    )
+    whole = lambda value: (value * unit).cast("long")
+    ref = Window.partitionBy("ref")
+    opening = whole(F.sum("opening").over(ref))
     if params.missing_stock == "zero":
-        refs = refs.withColumn("opening", F.coalesce("opening", none))
-    first = F.array(F.struct(F.lit(0).alias("week_idx"), *[none.alias(n) for n in FLOWS]))
-    has_first = F.exists("weeks", lambda week: week.week_idx == 0)
-    weeks = F.when(has_first, F.col("weeks")).otherwise(F.concat("weeks", first))
-    return refs.withColumn("week", F.explode(weeks)).select("ref", "market_chars", "opening", "week.*")
+        opening = F.coalesce(opening, F.lit(0).cast("long"))
+    own, week = F.col("own"), F.col("week_idx")
+    is_first = F.row_number().over(ref.orderBy(F.asc_nulls_last("week_idx"))) == 1
+    lacks_first = is_first & F.coalesce(week != 0, F.lit(True))
+    rows = F.array(F.when(lacks_first, F.lit(False)), F.when(week < params.horizon, F.lit(True)))
+    return (
+        weekly.filter("ref IS NOT NULL")
+        .withColumns({"market_chars": F.min("market_chars").over(ref), "opening": opening, "rows": rows})
+        .withColumn("own", F.explode(F.array_compact("rows")))
+        .select(
+            "ref", "market_chars", "opening", F.when(own, week).otherwise(0).alias("week_idx"),
+            *[whole(F.when(own, F.coalesce(n, F.lit(0))).otherwise(0)).alias(n) for n in FLOWS],
+        )
+    )
 
 
 def run_weeks(dense: DataFrame, params: Params) -> DataFrame:

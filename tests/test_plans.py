@@ -830,3 +830,20 @@ def test_parts_are_dealt_out_before_they_become_many_rows(spark):
     for name in ("price_benchmarks", "product_master", "product_catalog"):
         plan = tables[name]._jdf.queryExecution().executedPlan().toString()
         assert plan.index("Generate") < plan.index("REPARTITION_BY_COL"), name
+
+
+def test_weeks_of_a_ref_are_gathered_in_no_list(spark, params):
+    rows = [stock("idle", 2.0), flow("late", 40, 9.0), flow("late", 5, 1.0), flow("first", 0, 4.0), flow("outside", 500, 1.0)]
+    dense = dense_weeks(weekly_flow(spark.createDataFrame(rows, FLOW_SCHEMA), params), params)
+    plan = dense._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "collect_list" not in plan
+    got = sorted((r.ref, r.week_idx, r.opening // 10**6, r.demand // 10**6) for r in dense.collect())
+    assert got == [("first", 0, 0, 4), ("idle", 0, 2, 0), ("late", 0, 0, 0), ("late", 5, 0, 1), ("late", 40, 0, 9), ("outside", 0, 0, 0)]
+
+
+def test_stage_of_an_order_line_is_shuffled_once(spark, params):
+    tables = TestdataSources(spark, "/root/testdata/sf0.001")
+    status = extracts.newest_status(tables, params)
+    assert status._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    keys = tables.given("lineitem").select("l_orderkey", "l_linenumber").distinct().count()
+    assert tables["po_status"].count() == status.count() == keys
