@@ -21,7 +21,7 @@ from shelfcast.functions.columns import (
 from shelfcast.functions.weeks import monday, month_weeks, week_calendar, week_label, week_quantity
 from shelfcast.operators.joins import lookup_buffer, lookup_route
 from shelfcast.operators.latest import latest_row
-from shelfcast.session import shuffle_partitions
+from shelfcast.session import spread_partitions
 from shelfcast.params import Params
 from shelfcast.plans import extracts
 from shelfcast.plans.extracts import Sources
@@ -48,11 +48,11 @@ def add_up(contributions: DataFrame) -> DataFrame:
 def spread_months(monthly: DataFrame, keys: list[str]) -> DataFrame:
     """Weeks of monthly quantities. What falls on one date is added up before it is rounded.
 
-    A row becomes five or six in its task, so the totals are dealt to all shuffle partitions first;
+    A row becomes five or six in its task, so the totals are dealt to many partitions first;
     those that the totals arrive in are joined to fewer by their size before they grow.
     """
     totals = monthly.groupBy(*keys, "date").agg(F.sum("quantity").alias("quantity"))
-    totals = totals.repartition(shuffle_partitions(totals), *keys)
+    totals = totals.repartition(spread_partitions(totals), *keys)
     return month_weeks(totals, "date").withColumn(
         "quantity", week_quantity(F.col("quantity"), F.col("share"))
     )

@@ -12,7 +12,7 @@ from shelfcast.functions.weeks import week_calendar
 from shelfcast.params import Params
 from shelfcast.plans import flows
 from shelfcast.plans.extracts import Sources
-from shelfcast.session import shuffle_partitions
+from shelfcast.session import spread_partitions
 
 FLOWS = ["demand", "inbound", "po_signed", "po_unsigned"]
 MEASURES = [*FLOWS, "opening", "po_other"]
@@ -107,16 +107,18 @@ def dense_weeks(weekly: DataFrame, params: Params) -> DataFrame:
     Empty weeks are not rows: a row stands for its week and for the empty ones up to the ref's next row.
     The first week always is a row: where a ref has none, its first row brings one along. The rows stay on
     the partition of their ref, where the windows of the waterfall then run without another shuffle, and
-    nothing of a ref is gathered in a list.
+    nothing of a ref is gathered in a list. Totals of a ref take the order of its weeks too, so that one sort
+    serves all windows here.
     """
     unit = 10 ** weekly.schema["demand"].dataType.scale
     whole = lambda value: (value * unit).cast("long")
-    ref = Window.partitionBy("ref")
+    in_order = Window.partitionBy("ref").orderBy(F.asc_nulls_last("week_idx"))
+    ref = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     opening = whole(F.sum("opening").over(ref))
     if params.missing_stock == "zero":
         opening = F.coalesce(opening, F.lit(0).cast("long"))
     own, week = F.col("own"), F.col("week_idx")
-    is_first = F.row_number().over(ref.orderBy(F.asc_nulls_last("week_idx"))) == 1
+    is_first = F.row_number().over(in_order) == 1
     lacks_first = is_first & F.coalesce(week != 0, F.lit(True))
     rows = F.array(F.when(lacks_first, F.lit(False)), F.when(week < params.horizon, F.lit(True)))
     return (
@@ -216,8 +218,8 @@ def filled_weeks_of(weekly: DataFrame, params: Params) -> DataFrame:
 
 
 def by_ref(weekly: DataFrame) -> DataFrame:
-    """Weekly flows on the partition of their ref, over all shuffle partitions: a ref's weeks grow there."""
-    return weekly.filter("ref IS NOT NULL").repartition(shuffle_partitions(weekly), "ref")
+    """Weekly flows on the partition of their ref, over many partitions: a ref's weeks are sorted and grow there."""
+    return weekly.filter("ref IS NOT NULL").repartition(spread_partitions(weekly), "ref")
 
 
 def waterfall(sources: Sources, params: Params) -> DataFrame:

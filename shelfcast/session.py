@@ -28,3 +28,12 @@ def with_settings(builder: SparkSession.Builder) -> SparkSession.Builder:
 def shuffle_partitions(df: DataFrame) -> int:
     """Partitions of a shuffle as the session has them, before adaptive execution joins small ones."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+# Partitions, at least, of rows that a task sorts or holds several times over, or that grow in it.
+SPREAD = 192
+
+
+def spread_partitions(df: DataFrame) -> int:
+    """Partitions to deal such rows to: a session with few shuffle partitions would fill each of its tasks."""
+    return max(shuffle_partitions(df), SPREAD)

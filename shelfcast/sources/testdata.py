@@ -11,7 +11,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.session import shuffle_partitions
+from shelfcast.session import spread_partitions
 from shelfcast.sources.dimensions import SIGNED_STAGES, UNSIGNED_STAGES
 
 AS_OF = date(1998, 3, 2)
@@ -213,7 +213,7 @@ def po_status(s: TestdataSources) -> DataFrame:
     stages = [*SIGNED_STAGES, *UNSIGNED_STAGES, "Z. Cancelled"]
     # Dealt by line before the repeated rows go, so that what asks for a line's stage shuffles them no more.
     lines = _ordered(s).select("document_number", "line_id", "l_orderkey", "l_linenumber")
-    lines = lines.repartition(shuffle_partitions(lines), "document_number", "line_id").distinct()
+    lines = lines.repartition(spread_partitions(lines), "document_number", "line_id").distinct()
     step = "(l_orderkey + l_linenumber) % 27"
     return lines.selectExpr(
         "document_number",

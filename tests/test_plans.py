@@ -1,4 +1,5 @@
 import random
+import re
 from dataclasses import replace
 from datetime import date, datetime, timedelta
 
@@ -847,3 +848,20 @@ def test_stage_of_an_order_line_is_shuffled_once(spark, params):
     assert status._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
     keys = tables.given("lineitem").select("l_orderkey", "l_linenumber").distinct().count()
     assert tables["po_status"].count() == status.count() == keys
+
+
+def test_sorted_and_growing_rows_are_dealt_to_many_tasks(spark, source, sources, params):
+    monthly = source("sales_plan", plan_row()).selectExpr("sku AS ref", "date", "quantity")
+    tables = TestdataSources(spark, "/root/testdata/sf0.001")
+    for rows in (flows.spread_months(monthly, ["ref"]), filled_weeks(sources(), params), tables["po_status"]):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        dealt = [int(n) for n in re.findall(r"hashpartitioning\([^()]*, (\d+)\), REPARTITION_BY_NUM", plan)]
+        assert dealt and min(dealt) >= 192, plan
+
+
+def test_one_sort_serves_all_windows_of_the_filled_weeks(spark, params):
+    weekly = weekly_flow(spark.createDataFrame([stock("idle", 2.0), flow("late", 5, 1.0)], FLOW_SCHEMA), params)
+    dense = dense_weeks(weekly, params)
+    assert dense._jdf.queryExecution().executedPlan().toString().count("Sort [") == 1
+    weeks = with_dates(run_waterfall(dense, params), params)
+    assert weeks.filter("week_idx = 5").select("ref", "inventory_end").orderBy("ref").collect() == [("idle", 2.0), ("late", 0.0)]
