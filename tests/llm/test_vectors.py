@@ -3,7 +3,7 @@ import tracemalloc
 import numpy as np
 import pytest
 
-from shelfcast.llm import vectors
+from shelfcast.llm import common, vectors
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int"
 
@@ -93,3 +93,45 @@ def test_memory_of_probes_does_not_grow_with_lists_times_lists_times_components(
     tracemalloc.stop()
     # 700 x 700 distances are 4 MB, and 700 x 700 x 64 differences 251 MB.
     assert peak < 16_000_000
+
+
+def sent(spark, monkeypatch, points, chunk, label=1):
+    """Rows that go to blocks, and the number of blocks, for vectors of one label in one table."""
+    monkeypatch.setattr(vectors, "CHUNK", chunk)
+    rows = [(i, 1, label, len(v), v.tolist()) for i, v in enumerate(points)]
+    reps = spark.createDataFrame(rows, "rep bigint, copies bigint, label bigint, size int, embedding array<double>")
+    index = vectors.fit(reps, 0.98)
+    layout = vectors.blocks(reps, index)
+    count = sum(block.parts for row in layout.collect() for block in row.blocks)
+    return vectors.placed(reps, layout, index).collect(), count, len(index.centres)
+
+
+def test_a_vector_is_sent_once_to_a_block_however_many_lists_it_probes(spark, monkeypatch):
+    points = np.random.default_rng(3).normal(size=(400, 16))
+    rows, count, lists = sent(spark, monkeypatch, points, 1000)
+    assert lists == 20 and count == 1
+    assert sorted(row.rep for row in rows) == list(range(400)) and all(row.own for row in rows)
+    rows, count, _ = sent(spark, monkeypatch, points, 100)
+    places = [(row.rep, row.block) for row in rows]
+    assert 4 <= count <= 8 and len(places) == len(set(places)) <= 400 * count
+    assert sum(row.own for row in rows) == 400
+
+
+def test_a_list_larger_than_a_block_is_compared_in_parts(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    points = np.concatenate([rng.normal(size=16) + 0.02 * rng.normal(size=(60, 16)), rng.normal(size=(40, 16))])
+    rows, count, _ = sent(spark, monkeypatch, points, 8)
+    members = [sum(row.own for row in rows if row.block == block) for block in range(count)]
+    assert count > 10 and max(members) < 20
+    table = [(i, v.tolist(), 1) for i, v in enumerate(points)]
+    got = vectors.near_vectors(spark.createDataFrame(table, SCHEMA)).collect()
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == brute(table)
+
+
+def test_written_tables_leave_no_shuffle_files(spark, tmp_path):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    with common.shuffles_freed(spark):
+        assert spark.conf.get(setting) == "true"
+        common.stored(spark.range(1000).repartition(7))
+    assert spark.conf.get(setting) == before
