@@ -10,7 +10,7 @@ from shelfcast.params import Params
 from shelfcast.plans import flows
 from shelfcast.plans.extracts import Sources
 from shelfcast.plans.impact import oos_labels, ref_summary, revenue_impact, run_summary
-from shelfcast.plans.orders import Keep, staged
+from shelfcast.plans.orders import PLANNED_LINE, Keep, staged
 from shelfcast.plans.recommend import item_attributes, lead_times, recommendations
 from shelfcast.plans.waterfall import by_ref, filled_weeks, filled_weeks_of, flow_rows, waterfall_of, weekly_flow
 
@@ -42,21 +42,27 @@ def allocation_of(
     return lead_times(refs, params, routes, buffers).select(*ALLOCATION, *[f"`{name}`" for name in also])
 
 
-def allocation(sources: Sources, params: Params, keep: Keep | None = None) -> DataFrame:
+def allocation(
+    sources: Sources, params: Params, keep: Keep | None = None, keep_rows: Keep | None = None
+) -> DataFrame:
     """The allocation as one lazy plan; with `keep`, as two, parted at the written weekly flows.
 
     The driver holds what a plan broadcasts, and all its stages, until that plan ends: with little memory
-    it carries the two plans where it does not carry the one.
+    it carries the two plans where it does not carry the one. With `keep_rows` too, what is added up to the
+    weekly flows is written by plans of its own, so that the disk holds the shuffle files of one at a time.
     """
     if keep is None:
         return allocation_of(ref_summary(filled_weeks(sources, params), params), sources, params)
-    weekly = keep(weekly_flow(flow_rows(sources, params), params), "weekly_flow")
+    weekly = keep(weekly_flow(flow_rows(sources, params, keep_rows), params), "weekly_flow")
     return allocation_of(ref_summary(filled_weeks_of(by_ref(weekly), params), params), sources, params)
 
 
 def staged_allocation(sources: Sources, params: Params, keep: Keep) -> DataFrame:
-    """The allocation from written newest orders and weekly flows, each read back by what follows."""
-    sources = staged(sources, params, keep)
+    """The allocation from written newest orders and weekly flows, each read back by what follows.
+
+    Of an order line it keeps what the flows look at, which is half of its columns.
+    """
+    sources = staged(sources, params, keep, PLANNED_LINE, keep)
     weekly = keep(weekly_flow(flow_rows(sources, params), params), "weekly_flow")
     return allocation_of(ref_summary(filled_weeks_of(by_ref(weekly), params), params), sources, params)
 

@@ -128,7 +128,7 @@ OPEN_ORDER = [
 
 def open_po_with_origin(sources: Sources, params: Params) -> DataFrame:
     """Open PO lines with the stage text of the status feed and the vendor's shipping region."""
-    lines = extracts.open_orders(sources, params)
+    lines = sources["open_orders"] if "open_orders" in sources else extracts.open_orders(sources, params)
     if "current_status" not in lines.columns:
         status = extracts.newest_status(sources, params)
         lines = lines.select(*OPEN_ORDER).join(status, ["document_number", "line_id"], "left")

@@ -64,24 +64,47 @@ def newest_dates(index: DataFrame) -> DataFrame:
     )
 
 
-def order_lines(sources: Sources, index: DataFrame, params: Params) -> DataFrame:
-    """Newest rows of every PO line that can still be planned, with units on shipments and stage text."""
-    open_lines = sources["po_lines"].filter(
+# What the weekly flows look at of a PO line; the report of open lines has twice as many columns.
+PLANNED_LINE = [
+    "document_number", "line_id", "po_line_key", "batch_id", "sku", "listing_id", "brand", "vendor", "vendor_category",
+    "market", "market_alt", "deliver_to_location", "memo", "final_status", "production_status", "ordered_at",
+    "confirmed_crd", "quantity", "qty_received", "quantity_on_shipments", "wh_type", "transport_mode", "transport_type",
+    "snapshot_date",
+]
+
+
+def order_lines(
+    sources: Sources, index: DataFrame, params: Params, columns: list[str] | None = None, keep: Keep | None = None
+) -> DataFrame:
+    """Newest rows of every PO line that can still be planned, with units on shipments and stage text.
+
+    With `keep`, the newest rows are written before units and text are joined to them.
+    """
+    lines = sources["po_lines"] if columns is None else sources["po_lines"].select(*columns)
+    open_lines = lines.filter(
         ~F.col("final_status").isin(CLOSED_STATES)
         & (F.col("quantity") > 0)
         & (F.col("vendor_category") != INTERNAL_VENDORS)
     )
     keys = ["document_number", "line_id", "snapshot_date"]
     lines = join_null_safe(open_lines, newest_dates(index), keys, "inner")
+    if keep is not None:
+        lines = keep(lines, "newest_lines")
     if not params.raw_join:
         lines = extracts.with_shipped_units(lines, sources, params)
     return lines.join(extracts.newest_status(sources, params), ["document_number", "line_id"], "left")
 
 
-def staged(sources: Sources, params: Params, keep: Keep) -> Sources:
-    """The sources with newest orders and shipments beside them; `keep` writes a table and reads it back."""
+def staged(
+    sources: Sources, params: Params, keep: Keep, columns: list[str] | None = None, keep_lines: Keep | None = None
+) -> Sources:
+    """The sources with newest orders and shipments beside them; `keep` writes a table and reads it back.
+
+    With `columns`, order lines have no others but units on shipments, stage text and `of_document`; with
+    `keep_lines`, they are written in two steps.
+    """
     index = keep(order_index(sources), "order_index")
     shipments = keep(latest_snapshot(sources["shipment_headers"], ["shipment_number"]), "newest_shipments")
     tables = {"newest_shipments": shipments, "last_orders": last_orders(index)}
-    lines = order_lines(ChainMap(tables, sources), index, params)
+    lines = order_lines(ChainMap(tables, sources), index, params, columns, keep_lines)
     return ChainMap({**tables, "order_lines": keep(lines, "order_lines")}, sources)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
 from dataclasses import replace
 from decimal import Decimal
 
@@ -10,8 +11,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from shelfcast.functions.columns import col_or, floor_at_zero
 from shelfcast.functions.weeks import week_calendar
 from shelfcast.params import Params
-from shelfcast.plans import flows
+from shelfcast.plans import extracts, flows
 from shelfcast.plans.extracts import Sources
+from shelfcast.plans.orders import Keep
 from shelfcast.session import spread_partitions
 
 FLOWS = ["demand", "inbound", "po_signed", "po_unsigned"]
@@ -30,12 +32,19 @@ def left_out_of(weekly: DataFrame) -> DataFrame:
     return rows.filter(F.coalesce(*MEASURES).isNotNull()).na.fill(0.0)
 
 
-def flow_rows(sources: Sources, params: Params) -> DataFrame:
+def flow_rows(sources: Sources, params: Params, keep: Keep | None = None) -> DataFrame:
     """Rows of all flows and of the opening stock, one measure filled in each.
 
-    Rows without a ref are not planned; orders in a stage of no class are among them.
+    Rows without a ref are not planned; orders in a stage of no class are among them. With `keep`, open orders,
+    the rows of orders and those of shipments are written one after another, and read back.
     """
-    orders = flows.po_contributions(sources, params, every=True)
+    if keep is None:
+        keep = lambda df, name: df
+    elif "order_lines" not in sources:
+        lines = extracts.open_orders(sources, params).select(*flows.OPEN_ORDER)
+        sources = ChainMap({"open_orders": keep(lines, "open_orders")}, sources)
+    orders = keep(flows.po_contributions(sources, params, every=True), "order_rows")
+    inbound = keep(flows.inbound_contributions(sources, params), "inbound_rows")
     by_class = {"po_signed": F.col("klass") == "signed", "po_unsigned": F.col("klass") == "unsigned",
                 "po_other": F.col("klass").isNull()}
     keys = ["ref", "market_chars", "week_start"]
@@ -45,7 +54,7 @@ def flow_rows(sources: Sources, params: Params) -> DataFrame:
     )
     parts = [
         flows.demand_contributions(sources, params).select(*keys, F.col("quantity").alias("demand")),
-        flows.inbound_contributions(sources, params).select(*keys, F.col("quantity").alias("inbound")),
+        inbound.select(*keys, F.col("quantity").alias("inbound")),
         orders.select(*keys, *[F.when(own, F.col("quantity")).alias(name) for name, own in by_class.items()]),
         stock,
     ]

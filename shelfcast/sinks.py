@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -60,10 +61,26 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside delete their shuffle files when they stand, and not when the driver collects its garbage."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(setting)
+        else:
+            spark.conf.set(setting, before)
+
+
 def keep_shared(df: DataFrame, name: str) -> DataFrame:
-    """Writes a table to the folder that all executors share and reads it back."""
+    """Writes a table to the folder that all executors share and reads it back; its shuffle files go."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

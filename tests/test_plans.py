@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from dataclasses import replace
 from datetime import date, datetime, timedelta
 
@@ -12,7 +13,7 @@ from shelfcast.params import Params
 from shelfcast.plans import extracts, flows
 from shelfcast.plans.allocation import ALLOCATION, allocation, plan_allocation, staged_allocation
 from shelfcast.plans.impact import days_of_cover, oos_labels, ref_summary, revenue_impact, run_summary
-from shelfcast.plans.orders import staged
+from shelfcast.plans.orders import PLANNED_LINE, staged
 from shelfcast.plans.recommend import lead_times, recommendations
 from shelfcast.plans.waterfall import (
     FLOWS, dense_weeks, filled_weeks, filled_weeks_of, flow_rows, left_out, left_out_of, oos_weeks, run_waterfall, waterfall_of, weekly_flow, with_dates,
@@ -865,3 +866,48 @@ def test_one_sort_serves_all_windows_of_the_filled_weeks(spark, params):
     assert dense._jdf.queryExecution().executedPlan().toString().count("Sort [") == 1
     weeks = with_dates(run_waterfall(dense, params), params)
     assert weeks.filter("week_idx = 5").select("ref", "inventory_end").orderBy("ref").collect() == [("idle", 2.0), ("late", 0.0)]
+
+
+def test_allocation_writes_the_rows_of_its_flows_by_plans_of_their_own(source, sources, params):
+    tables, kept = sources(sales_plan=source("sales_plan", plan_row())), []
+
+    def keep(df, name):
+        kept.append(name)
+        return sinks.keep_shared(df, name)
+
+    once, apart = allocation(tables, params), allocation(tables, params, keep, keep)
+    assert kept == ["open_orders", "order_rows", "inbound_rows", "weekly_flow"]
+    assert once.count() > 0 and sorted(map(repr, apart.collect())) == sorted(map(repr, once.collect()))
+
+
+def test_staged_allocation_keeps_the_columns_of_order_lines_that_it_looks_at(spark, params):
+    tables, kept = TestdataSources(spark, "/root/testdata/sf0.001"), {}
+
+    def keep(df, name):
+        kept[name] = df.columns
+        return sinks.keep_shared(df, name)
+
+    staged_allocation(tables, params, keep)
+    more = {"of_document", "shipped", "current_status"}
+    assert set(kept["order_lines"]) == set(kept["newest_lines"]) | more == {*PLANNED_LINE} | more
+    assert len(PLANNED_LINE) < len(tables["po_lines"].columns) * 0.6
+
+
+def test_kept_tables_leave_no_shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = disk.getAllFiles().iterator()
+        names = set()
+        while found.hasNext():
+            names.add(found.next().getName())
+        return {name for name in names if name.startswith("shuffle_")}
+
+    before = files()
+    kept = sinks.keep_shared(spark.range(1000).repartition(7, "id"), "rows")
+    for _ in range(100):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert kept.count() == 1000
